@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,9 +12,6 @@ from regain.config import TEXT_REPAIRS
 # Every Unicode space separator: the source trims all of them, Spark's default only U+0020.
 SPACES = "\u0020\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u202f\u205f\u3000"
 
-# ``\b`` in Java follows Unicode letters; the rules are written for ASCII word characters.
-ASCII_BOUNDARY = r"(?:(?<!\w)(?=\w)|(?<=\w)(?!\w))"
-
 
 def blank_to_null(col: Column) -> Column:
     return F.nullif(F.trim(col, F.lit(SPACES)), F.lit(""))
@@ -45,8 +44,13 @@ def is_present(name: str) -> Column:
 
 
 def matches(col: Column, pattern: str) -> Column:
-    """Regex search with ASCII word boundaries."""
-    return col.rlike(pattern.replace(r"\b", ASCII_BOUNDARY))
+    """Regex search with ASCII word boundaries.
+
+    Java's ``\\b`` follows Unicode letters; the rules are written for ASCII word characters. A boundary
+    before a word or group becomes "no word character before", any other "no word character after".
+    """
+    pattern = re.sub(r"\\b(?=[\w(])", r"(?<!\\w)", pattern)
+    return col.rlike(pattern.replace(r"\b", r"(?!\w)"))
 
 
 def upper_or_blank(name: str) -> Column:

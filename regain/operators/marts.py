@@ -205,13 +205,13 @@ def buying_rhythm(days: DataFrame, invoices: DataFrame, dates: ReportingDates) -
     )
 
 
-def customer_category_mix(tx: DataFrame, products: DataFrame) -> DataFrame:
+def customer_category_mix(lines: DataFrame, products: DataFrame) -> DataFrame:
     """Product types and number of brands bought.
 
     Purchases collapse to distinct customer x product before they meet the products, and to
     distinct customer x brand x type before anything is counted or listed.
     """
-    bought = tx.filter(F.col("is_purchase") & F.col("product_id").isNotNull()).select("customer_id", "product_id").distinct()
+    bought = lines.filter(F.col("is_purchase") & F.col("product_id").isNotNull()).select("customer_id", "product_id").distinct()
     kinds = products.select("product_id", F.col("gl_type_desc").alias("type"), F.col("mapped_buy_line").alias("brand"))
     mix = bought.join(kinds, "product_id", "left").select("customer_id", "type", "brand").distinct()
     return mix.groupBy("customer_id").agg(
@@ -233,7 +233,7 @@ def customer_header_money(headers: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def customer_mart(
-    tx: DataFrame, days: DataFrame, invoices: DataFrame, headers: DataFrame, customers: DataFrame, groups: DataFrame,
+    lines: DataFrame, days: DataFrame, invoices: DataFrame, headers: DataFrame, customers: DataFrame, groups: DataFrame,
     people: DataFrame, branches: DataFrame, products: DataFrame, dates: ReportingDates,
 ) -> DataFrame:
     """One row per customer. All inputs are aggregated to the customer before they are joined."""
@@ -249,7 +249,7 @@ def customer_mart(
         customer_universe(customers, groups, days, headers)
         .join(master, "customer_id", "left")
         .join(sales, "customer_id", "left")
-        .join(customer_category_mix(tx, products), "customer_id", "left")
+        .join(customer_category_mix(lines, products), "customer_id", "left")
         .join(linked_accounts(customers, groups), "customer_id", "left")
         .join(customer_header_money(headers, groups), "customer_id", "left")
         .join(reps, "salesperson_id", "left")

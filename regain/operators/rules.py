@@ -143,35 +143,51 @@ def invoice_corrections(invoices: DataFrame) -> DataFrame:
     )
 
 
-def customer_transactions(lines: DataFrame, corrections: DataFrame, headers: DataFrame, remap: DataFrame) -> DataFrame:
-    """Everything that counts towards a customer's sales and profit, under the customer's own id.
+COMMON = ("company_id", "bill_to_customer_id", "invoice_no", "ship_date")
+
+
+def _owned(rows: DataFrame, remap: DataFrame) -> DataFrame:
+    """Add the customer: the bill-to account, or the customer it belongs to.
 
     ``remap`` holds only accounts that belong to another customer (a reviewed list), so most rows
-    find no partner and keep their bill-to account. Quantity and sell price ride along so product
-    windows need no join back to the lines. Spark broadcasts ``remap`` when its size allows;
-    beyond that the adaptive skew join splits a heavy bill-to account.
+    find no partner. Spark broadcasts it when its size allows; beyond that the adaptive skew join
+    splits a heavy bill-to account.
     """
-    common = ("company_id", "bill_to_customer_id", "invoice_no", "ship_date")
-    yes, no = F.lit(True), F.lit(False)
-    product_lines = lines.select(
-        F.col("sales_line_id").alias("transaction_id"), *common, F.lit("product_line").alias("transaction_type"),
+    owner = remap.select(F.col("account_id").alias("bill_to_customer_id"), F.col("customer_id").alias("owner_id"))
+    return (
+        rows.join(owner, "bill_to_customer_id", "left")
+        .withColumn("customer_id", F.coalesce("owner_id", "bill_to_customer_id"))
+        .drop("owner_id")
+    )
+
+
+def line_transactions(lines: DataFrame, remap: DataFrame) -> DataFrame:
+    """Product lines under the customer's own id. Quantity rides along, so product windows need no
+    join back to the lines."""
+    rows = lines.select(
+        F.col("sales_line_id").alias("transaction_id"), *COMMON, F.lit("product_line").alias("transaction_type"),
         "product_id", "quantity", "ext_price", "ext_cogs", "gross_profit",
         "is_financial", "is_purchase", "is_return_credit", "is_consignment",
     )
-    flags = (yes.alias("is_financial"), no.alias("is_purchase"), no.alias("is_return_credit"), no.alias("is_consignment"))
+    return _owned(rows, remap)
+
+
+def exception_transactions(corrections: DataFrame, headers: DataFrame, remap: DataFrame) -> DataFrame:
+    """What the invoices add to the lines: corrections and rebates. Never a purchase or a return."""
+    no = F.lit(False)
+    flags = (F.lit(True).alias("is_financial"), no.alias("is_purchase"), no.alias("is_return_credit"), no.alias("is_consignment"))
     fixes = corrections.select(
-        "transaction_id", *common, F.lit("invoice_correction").alias("transaction_type"),
+        "transaction_id", *COMMON, F.lit("invoice_correction").alias("transaction_type"),
         "ext_price", "ext_cogs", "gross_profit", *flags,
     )
     rebates = headers.filter(F.col("line_type") == c.REBATE_TYPE).select(
-        F.col("sales_line_id").alias("transaction_id"), *common, F.lit("rebate").alias("transaction_type"),
+        F.col("sales_line_id").alias("transaction_id"), *COMMON, F.lit("rebate").alias("transaction_type"),
         F.col("rebate_amount").alias("ext_price"), F.lit(0).cast("decimal(18,4)").alias("ext_cogs"),
         F.col("rebate_amount").alias("gross_profit"), *flags,
     )
-    everything = product_lines.unionByName(fixes, allowMissingColumns=True).unionByName(rebates, allowMissingColumns=True)
-    owner = remap.select(F.col("account_id").alias("bill_to_customer_id"), F.col("customer_id").alias("owner_id"))
-    return (
-        everything.join(owner, "bill_to_customer_id", "left")
-        .withColumn("customer_id", F.coalesce("owner_id", "bill_to_customer_id"))
-        .drop("owner_id")
-    )
+    return _owned(fixes.unionByName(rebates), remap)
+
+
+def customer_transactions(of_lines: DataFrame, of_exceptions: DataFrame) -> DataFrame:
+    """Everything that counts towards a customer's sales and profit."""
+    return of_lines.unionByName(of_exceptions, allowMissingColumns=True)

@@ -81,16 +81,16 @@ def customer_days(tx: DataFrame) -> DataFrame:
     )
 
 
-def purchase_invoices(tx: DataFrame) -> DataFrame:
+def purchase_invoices(lines: DataFrame) -> DataFrame:
     """Customer x purchase invoice x year with the latest ship date: distinct counts become plain counts."""
     return (
-        tx.filter(F.col("is_purchase") & F.col("invoice_no").isNotNull())
+        lines.filter(F.col("is_purchase") & F.col("invoice_no").isNotNull())
         .groupBy("customer_id", "invoice_no", F.year("ship_date").alias("sales_year"))
         .agg(F.max("ship_date").alias("last_ship_date"))
     )
 
 
-def product_changes(tx: DataFrame, products: DataFrame, dates: ReportingDates, cfg: Settings = Settings()) -> DataFrame:
+def product_changes(lines: DataFrame, products: DataFrame, dates: ReportingDates, cfg: Settings = Settings()) -> DataFrame:
     """Customer x product over 24 months: profit and units before and now, last price paid.
 
     The last unit price belongs to the latest purchase; on a shared date the highest extended price,
@@ -105,7 +105,7 @@ def product_changes(tx: DataFrame, products: DataFrame, dates: ReportingDates, c
         + quantity.cast("decimal(10,0)")
     ).cast("decimal(38,0)")
     windows = (
-        tx.filter((F.col("transaction_type") == "product_line") & F.col("is_financial") & dates.in_either())
+        lines.filter(F.col("is_financial") & dates.in_either())
         .groupBy("customer_id", "product_id")
         .agg(
             sum_when(before, F.col("gross_profit")).alias("gp_prior_12m"),

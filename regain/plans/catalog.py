@@ -17,6 +17,7 @@ from regain.config import Settings
 from regain.operators import analyses, callsheet, dimensions, explore, marts, opportunity, quality, staging, windows
 from regain.plans import checks
 from regain.plans.pipeline import BUILD_ORDER, Pipeline, SEEDS, STAGING, build
+from regain.plans.session import tune
 from regain.plans.store import Scratch
 from regain.sources import extracts, untidy
 from regain.sources.sample import LOADED_AT, SampleTables
@@ -65,7 +66,7 @@ def _over_build(make: Callable[[Pipeline], DataFrame]) -> Query:
 
 
 def _stage(make: Callable[[SampleTables], DataFrame]) -> Query:
-    return lambda spark, path: portable(make(SampleTables(spark, path, CFG)))
+    return lambda spark, path: portable(make(SampleTables(tune(spark), path, CFG)))
 
 
 # ---- staging from raw text ---------------------------------------------------------------------
@@ -233,7 +234,7 @@ QUERIES: dict[str, Query] = {
     "customer_recency": _lazy(_recency),
     "customer_12m_change": _lazy(lambda p: marts.customer_12m_change(p.days, p.dates)),
     "buying_rhythm": _lazy(lambda p: marts.buying_rhythm(p.days, p.purchase_invoices, p.dates)),
-    "customer_category_mix": _lazy(lambda p: marts.customer_category_mix(p.transactions, p.products)),
+    "customer_category_mix": _lazy(lambda p: marts.customer_category_mix(p.line_transactions, p.products)),
     "customer_header_money": _lazy(lambda p: marts.customer_header_money(p.headers, p.groups)),
     "linked_accounts": _lazy(lambda p: marts.linked_accounts(p.staged.stg_customers, p.groups)),
     "customer_years": _lazy(lambda p: p.customer_years, shared=True),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from regain.config import Settings
 from regain.operators import callsheet, dimensions, marts, opportunity, rules, windows
+from regain.plans.session import tune
 from regain.plans.store import Layers, Scratch
 
 STAGING = (
@@ -29,7 +30,7 @@ MARTS = (
 LAYER_OF = {**dict.fromkeys(STAGING, "staging"), **dict.fromkeys(SEEDS, "seeds"), **dict.fromkeys(MARTS, "marts")}
 
 # read by two or more branches of the plans that ask for them
-SHARED = frozenset({"customer_days", "purchase_invoices", "scores"})
+SHARED = frozenset({"invoice_exceptions", "customer_days", "purchase_invoices", "scores"})
 
 
 class Pipeline:
@@ -51,7 +52,7 @@ class Pipeline:
     @classmethod
     def for_query(cls, spark, staged, settings: Settings = Settings(), shared: bool = False) -> "Pipeline":
         """Lazy tables; with ``shared``, those in ``SHARED`` are written once and read back."""
-        scratch = Scratch(spark)
+        scratch = Scratch(tune(spark))
         table = (lambda name, df: scratch.keep(df) if name in SHARED else df) if shared else None
         return cls(staged, settings, table, scratch.keep)
 
@@ -78,11 +79,17 @@ class Pipeline:
 
     @cached_property
     def headers(self) -> DataFrame:
-        return self._table("int_header_only_entries", rules.classify_headers(self.invoices))
+        return self._table("int_header_only_entries", rules.classify_headers(self.exceptions))
+
+    @cached_property
+    def exceptions(self) -> DataFrame:
+        """Invoices that do not match their lines: the few rows headers and corrections are made of."""
+        frame = self.invoices.filter(F.col("reconciliation_status") != "matched")
+        return self._table("invoice_exceptions", frame)
 
     @cached_property
     def corrections(self) -> DataFrame:
-        return rules.invoice_corrections(self.invoices)
+        return rules.invoice_corrections(self.exceptions)
 
     @cached_property
     def dates_frame(self) -> DataFrame:
@@ -127,10 +134,14 @@ class Pipeline:
 
     # ---- customers --------------------------------------------------------------------------
 
+    @cached_property
+    def line_transactions(self) -> DataFrame:
+        return rules.line_transactions(self.money_lines, self.remap)
+
     @cached_property
     def transactions(self) -> DataFrame:
-        frame = rules.customer_transactions(self.money_lines, self.corrections, self.headers, self.remap)
-        return self._table("int_customer_transactions", frame)
+        extra = rules.exception_transactions(self.corrections, self.headers, self.remap)
+        return self._table("int_customer_transactions", rules.customer_transactions(self.line_transactions, extra))
 
     @cached_property
     def days(self) -> DataFrame:
@@ -138,11 +149,11 @@ class Pipeline:
 
     @cached_property
     def purchase_invoices(self) -> DataFrame:
-        return self._table("purchase_invoices", windows.purchase_invoices(self.transactions))
+        return self._table("purchase_invoices", windows.purchase_invoices(self.line_transactions))
 
     @cached_property
     def product_changes(self) -> DataFrame:
-        frame = windows.product_changes(self.transactions, self.products, self.dates, self.cfg)
+        frame = windows.product_changes(self.line_transactions, self.products, self.dates, self.cfg)
         return self._table("int_customer_product_changes", frame)
 
     @cached_property
@@ -157,7 +168,7 @@ class Pipeline:
     @cached_property
     def customer_mart(self) -> DataFrame:
         frame = marts.customer_mart(
-            self.transactions, self.days, self.purchase_invoices, self.headers, self.staged.stg_customers, self.groups,
+            self.line_transactions, self.days, self.purchase_invoices, self.headers, self.staged.stg_customers, self.groups,
             self.people, self.staged.stg_branches, self.products, self.dates,
         )
         return self._table("mart_customers", frame)
@@ -231,6 +242,7 @@ class Written:
 
 def build(spark, staged, root: str, settings: Settings = Settings()) -> Pipeline:
     """Write every staging, intermediate and mart table under ``root`` and return the pipeline over them."""
+    tune(spark)
     layers = Layers(root, LAYER_OF)
     written = Written({name: layers.put(name, getattr(staged, name)) for name in (*STAGING, *SEEDS)})
     pipeline = Pipeline(written, settings, layers.put, Scratch(spark).keep)

@@ -41,6 +41,13 @@ class SampleTables:
     def _table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.path}/{name}.parquet")
 
+    @cached_property
+    def _lineitem(self) -> DataFrame:
+        """Invoice lines; a file of fewer splits than cores is spread, larger inputs pass unchanged."""
+        line = self._table("lineitem")
+        cores = self.spark.sparkContext.defaultParallelism
+        return line.repartition(cores, "l_orderkey") if line.rdd.getNumPartitions() < cores else line
+
     def _company(self) -> Column:
         return F.lit(self.settings.company_id)
 
@@ -51,7 +58,7 @@ class SampleTables:
 
     @cached_property
     def _joined_lines(self) -> DataFrame:
-        line = self._table("lineitem")
+        line = self._lineitem
         order = self._table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         cust, ship = F.col("o_custkey"), F.col("l_shipdate").cast("date")
         code = (
@@ -387,7 +394,7 @@ class SampleTables:
         cost = (F.col("l_extendedprice").cast(MONEY) * F.lit("0.75").cast("decimal(3,2)")).cast(MONEY)
         file_name = F.concat(F.lit("purch_"), _text(F.year(ship)), F.lit(".txt"))
         line_no = (F.col("l_orderkey") % 10000000 * 10 + F.col("l_linenumber")).cast("int")
-        return self._table("lineitem").select(
+        return self._lineitem.select(
             F.concat(file_name, F.lit(":"), _text(line_no)).alias("purchase_line_id"),
             self._company().alias("company_id"),
             F.concat(F.lit("PO"), _text("l_orderkey")).alias("po_no"),
