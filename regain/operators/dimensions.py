@@ -54,12 +54,13 @@ def resolve_salespeople(
     The leading id is an aggregate joined back rather than a window, so a name shared by very many
     ids is never sorted in one task.
     """
-    line_ids = sales.select(F.explode(F.array("outside_salesperson_id", "inside_salesperson_id")).alias("salesperson_id"))
+    # the few distinct pairs of ids are counted before the two ids are unfolded
+    pairs = sales.groupBy("outside_salesperson_id", "inside_salesperson_id").agg(F.count("*").alias("n"))
+    line_ids = pairs.select(F.explode(F.array("outside_salesperson_id", "inside_salesperson_id")).alias("salesperson_id"), "n")
+    assigned = customers.groupBy("salesperson_id").agg(F.count("*").alias("n"))
     usage = (
-        line_ids.unionByName(customers.select("salesperson_id"))
-        .filter("salesperson_id is not null")
-        .groupBy("salesperson_id")
-        .agg(F.count("*").alias("uses"))
+        line_ids.unionByName(assigned).filter("salesperson_id is not null")
+        .groupBy("salesperson_id").agg(F.sum("n").alias("uses"))
     )
     # one pass over the usage: an id outside the lookup arrives from the right side of the join
     listed = lookup.select("salesperson_id", "salesperson_name", F.lit(True).alias("is_in_lookup"))

@@ -91,6 +91,11 @@ def sales_detail(
     )
 
 
+MASTER_COLUMNS = (
+    "company_id", "customer_name", "city", "state", "phone", "email", "customer_type", "customer_class", "home_branch_id",
+    "salesperson_id", "is_inactive",
+)
+
 # ---- customer mart, in parts -------------------------------------------------------------------
 
 
@@ -232,29 +237,52 @@ def customer_header_money(headers: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
+def customer_activity(days: DataFrame, invoices: DataFrame, dates: ReportingDates) -> DataFrame:
+    """Recency, money windows and rhythm of every customer with transactions, one row each."""
+    sums = customer_money(days, dates).join(invoice_counts(invoices, dates), "customer_id", "left")
+    return with_12m_change(with_rhythm(sums))
+
+
+def with_master(
+    df: DataFrame, customers: DataFrame, people: DataFrame, branches: DataFrame, columns: tuple[str, ...] = MASTER_COLUMNS
+) -> DataFrame:
+    """Add the customer's own row of the master, the assigned rep and the home branch."""
+    reps = people.select("salesperson_id", F.col("person_name").alias("salesperson_name"), "is_system_account")
+    homes = branches.select(F.col("branch_id").alias("home_branch_id"), F.col("branch_name").alias("home_branch_name"))
+    return (
+        df.join(customers.select("customer_id", *columns), "customer_id", "left")
+        .join(reps, "salesperson_id", "left")
+        .join(homes, "home_branch_id", "left")
+        .withColumn("is_house_account", F.coalesce("is_system_account", F.lit(False)))
+        .drop("is_system_account")
+    )
+
+
+def buyers(
+    days: DataFrame, invoices: DataFrame, customers: DataFrame, people: DataFrame, branches: DataFrame, dates: ReportingDates
+) -> DataFrame:
+    """The part of the customer mart that scoring reads, for customers who ever bought.
+
+    Leaves out the category mix, account lists and header money, each a shuffle scoring never uses.
+    """
+    active = customer_activity(days, invoices, dates).filter("first_purchase_date is not null")
+    named = with_master(active, customers, people, branches, ("customer_name", "salesperson_id", "home_branch_id"))
+    return with_recency(named, dates).withColumn("purchase_invoice_count", or_zero(F.col("purchase_invoice_count")))
+
+
 def customer_mart(
     lines: DataFrame, days: DataFrame, invoices: DataFrame, headers: DataFrame, customers: DataFrame, groups: DataFrame,
     people: DataFrame, branches: DataFrame, products: DataFrame, dates: ReportingDates,
 ) -> DataFrame:
     """One row per customer. All inputs are aggregated to the customer before they are joined."""
-    sales = with_recency(customer_money(days, dates).join(invoice_counts(invoices, dates), "customer_id", "left"), dates)
-    sales = with_12m_change(with_rhythm(sales)).drop("purchase_status", "days_since_last_purchase")
-    master = customers.select(
-        "customer_id", "company_id", "customer_name", "city", "state", "phone", "email", "customer_type",
-        "customer_class", "home_branch_id", "salesperson_id", "is_inactive",
-    )
-    reps = people.select("salesperson_id", F.col("person_name").alias("salesperson_name"), "is_system_account")
-    homes = branches.select(F.col("branch_id").alias("home_branch_id"), F.col("branch_name").alias("home_branch_name"))
     joined = (
         customer_universe(customers, groups, days, headers)
-        .join(master, "customer_id", "left")
-        .join(sales, "customer_id", "left")
+        .join(customer_activity(days, invoices, dates), "customer_id", "left")
         .join(customer_category_mix(lines, products), "customer_id", "left")
         .join(linked_accounts(customers, groups), "customer_id", "left")
         .join(customer_header_money(headers, groups), "customer_id", "left")
-        .join(reps, "salesperson_id", "left")
-        .join(homes, "home_branch_id", "left")
     )
+    joined = with_master(joined, customers, people, branches)
 
     def zero(name):
         return or_zero(F.col(name)).alias(name)
@@ -263,7 +291,7 @@ def customer_mart(
         "customer_id", F.coalesce("account_ids", "customer_id").alias("account_ids"), "company_id", "customer_name",
         "city", "state", "phone", "email", "customer_type", "customer_class", "home_branch_id", "home_branch_name",
         "salesperson_id", "salesperson_name",
-        F.coalesce("is_system_account", F.lit(False)).alias("is_house_account"), "is_inactive",
+        "is_house_account", "is_inactive",
         zero("ship_to_account_count"), "purchase_status", "first_purchase_date", "last_purchase_date",
         "days_since_last_purchase", zero("sales_last_12m"), zero("sales_prior_12m"), zero("sales_change_12m"),
         "sales_change_12m_pct", zero("gross_profit_last_12m"), zero("gross_profit_prior_12m"),

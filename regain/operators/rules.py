@@ -6,7 +6,7 @@ text of the customer PO picks the name of the line type, so a typo never moves a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regain import config as c
@@ -91,16 +91,21 @@ def reconcile_invoices(orders: DataFrame, lines: DataFrame, cfg: Settings = Sett
     )
 
 
-def classify_headers(invoices: DataFrame) -> DataFrame:
-    """Headers without lines: what kind of money each is, in separate amount columns. Narrow."""
+def header_line_type() -> Column:
+    """Type of a header-only invoice: first matching rule wins."""
     po = upper_or_blank("customer_po")
-    total = F.col("header_item_total")
-    line_type = F.when(total == 0, c.ZERO_TYPE)
+    line_type = F.when(F.col("header_item_total") == 0, c.ZERO_TYPE)
     for pattern, name in c.HEADER_PATTERNS:
         hit = matches(po, pattern)
         if name == "service_charge":
             hit = (F.col("sales_source") == c.SERVICE_CHARGE_SOURCE) | hit
         line_type = line_type.when(hit, name)
+    return line_type.otherwise(c.OTHER_HEADER_TYPE)
+
+
+def classify_headers(invoices: DataFrame) -> DataFrame:
+    """Headers without lines: what kind of money each is, in separate amount columns. Narrow."""
+    total = F.col("header_item_total")
     kind = F.col("line_type")
     is_charge, is_rebate, is_zero = kind.isin(*c.CHARGE_TYPES), kind == c.REBATE_TYPE, kind == c.ZERO_TYPE
     nothing = F.lit(0).cast("decimal(18,4)")
@@ -110,7 +115,7 @@ def classify_headers(invoices: DataFrame) -> DataFrame:
 
     return (
         invoices.filter(F.col("reconciliation_status") == "header_only")
-        .withColumn("line_type", line_type.otherwise(c.OTHER_HEADER_TYPE))
+        .withColumn("line_type", header_line_type())
         .select(
             F.concat("invoice_no", F.lit(":header")).alias("sales_line_id"),
             "company_id", "invoice_no", "bill_to_customer_id", "ship_to_customer_id", "outside_salesperson_id",
@@ -172,20 +177,25 @@ def line_transactions(lines: DataFrame, remap: DataFrame) -> DataFrame:
     return _owned(rows, remap)
 
 
-def exception_transactions(corrections: DataFrame, headers: DataFrame, remap: DataFrame) -> DataFrame:
-    """What the invoices add to the lines: corrections and rebates. Never a purchase or a return."""
+def exception_transactions(invoices: DataFrame, remap: DataFrame) -> DataFrame:
+    """What the invoices add to the lines: corrections (header minus lines) and rebates.
+
+    One pass over the invoices for both; neither is ever a purchase or a return.
+    """
+    is_fix = F.col("reconciliation_status") == "variance"
+    is_rebate = (F.col("reconciliation_status") == "header_only") & (header_line_type() == c.REBATE_TYPE)
+    total = F.col("header_item_total")
+    price = F.when(is_fix, total - F.col("line_price_total")).otherwise(total)
+    cogs = F.when(is_fix, F.col("header_cogs_total") - F.col("line_cogs_total")).otherwise(F.lit(0))
     no = F.lit(False)
-    flags = (F.lit(True).alias("is_financial"), no.alias("is_purchase"), no.alias("is_return_credit"), no.alias("is_consignment"))
-    fixes = corrections.select(
-        "transaction_id", *COMMON, F.lit("invoice_correction").alias("transaction_type"),
-        "ext_price", "ext_cogs", "gross_profit", *flags,
-    )
-    rebates = headers.filter(F.col("line_type") == c.REBATE_TYPE).select(
-        F.col("sales_line_id").alias("transaction_id"), *COMMON, F.lit("rebate").alias("transaction_type"),
-        F.col("rebate_amount").alias("ext_price"), F.lit(0).cast("decimal(18,4)").alias("ext_cogs"),
-        F.col("rebate_amount").alias("gross_profit"), *flags,
+    rows = invoices.filter(is_fix | is_rebate).select(
+        F.concat("invoice_no", F.when(is_fix, ":correction").otherwise(":header")).alias("transaction_id"),
+        *COMMON,
+        F.when(is_fix, "invoice_correction").otherwise("rebate").alias("transaction_type"),
+        price.alias("ext_price"), cogs.alias("ext_cogs"), (price - cogs).alias("gross_profit"),
+        F.lit(True).alias("is_financial"), no.alias("is_purchase"), no.alias("is_return_credit"), no.alias("is_consignment"),
     )
-    return _owned(fixes.unionByName(rebates), remap)
+    return _owned(rows, remap)
 
 
 def customer_transactions(of_lines: DataFrame, of_exceptions: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from regain.config import Settings
 from regain.operators import analyses, callsheet, dimensions, explore, marts, opportunity, quality, staging, windows
 from regain.plans import checks
-from regain.plans.pipeline import BUILD_ORDER, Pipeline, SEEDS, STAGING, build
+from regain.plans.pipeline import CUSTOMERS, LINES, SEEDS, STAGING, Pipeline, build
 from regain.plans.session import tune
 from regain.plans.store import Scratch
 from regain.sources import extracts, untidy
@@ -43,7 +43,7 @@ def portable(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-def _lazy(make: Callable[[Pipeline], DataFrame], shared: bool = False) -> Query:
+def _lazy(make: Callable[[Pipeline], DataFrame], shared: frozenset = frozenset()) -> Query:
     def run(spark: SparkSession, path: str) -> DataFrame:
         return portable(make(Pipeline.for_query(spark, SampleTables(spark, path, CFG), CFG, shared)))
 
@@ -191,7 +191,7 @@ def table_map(p: Pipeline) -> dict[str, DataFrame]:
 
 
 def _customer_signal(*columns: str) -> Query:
-    return _lazy(lambda p: p.scores.select("customer_id", *columns), shared=True)
+    return _lazy(lambda p: p.scores.select("customer_id", *columns), shared=CUSTOMERS)
 
 
 def _recency(p: Pipeline) -> DataFrame:
@@ -229,16 +229,16 @@ QUERIES: dict[str, Query] = {
     "brand_changes": _lazy(lambda p: p.brand_changes),
     # marts
     "sales_detail": _lazy(lambda p: p.sales_detail),
-    "customer_mart": _lazy(lambda p: p.customer_mart, shared=True),
+    "customer_mart": _lazy(lambda p: p.customer_mart, shared=CUSTOMERS),
     "customer_universe": _lazy(lambda p: marts.customer_universe(p.staged.stg_customers, p.groups, p.days, p.headers)),
     "customer_recency": _lazy(_recency),
     "customer_12m_change": _lazy(lambda p: marts.customer_12m_change(p.days, p.dates)),
-    "buying_rhythm": _lazy(lambda p: marts.buying_rhythm(p.days, p.purchase_invoices, p.dates)),
+    "buying_rhythm": _lazy(lambda p: marts.buying_rhythm(p.days, p.purchase_invoices, p.dates), shared=LINES),
     "customer_category_mix": _lazy(lambda p: marts.customer_category_mix(p.line_transactions, p.products)),
     "customer_header_money": _lazy(lambda p: marts.customer_header_money(p.headers, p.groups)),
     "linked_accounts": _lazy(lambda p: marts.linked_accounts(p.staged.stg_customers, p.groups)),
-    "customer_years": _lazy(lambda p: p.customer_years, shared=True),
-    "product_mart": _lazy(lambda p: p.product_mart),
+    "customer_years": _lazy(lambda p: p.customer_years, shared=CUSTOMERS),
+    "product_mart": _lazy(lambda p: p.product_mart, shared=LINES),
     "inventory_mart": _lazy(lambda p: p.inventory_mart),
     # scoring
     "signal_declining": _customer_signal("is_two_year_decline", "is_sharp_drop", "is_declining", "lost_gp_declining"),
@@ -251,10 +251,10 @@ QUERIES: dict[str, Query] = {
     "recoverability": _customer_signal("recoverability_factor"),
     "lost_profit": _customer_signal("lost_gp_declining", "lost_gp_this_year", "lost_gp_gone_quiet", "est_lost_gross_profit"),
     "winnability": _customer_signal("winnability_weight"),
-    "opportunity_reason": _lazy(lambda p: p.scores.select("customer_id", opportunity.reason(p.dates).alias("reason")), shared=True),
-    "opportunities": _lazy(lambda p: p.opportunities, shared=True),
+    "opportunity_reason": _lazy(lambda p: p.scores.select("customer_id", opportunity.reason(p.dates).alias("reason")), shared=CUSTOMERS),
+    "opportunities": _lazy(lambda p: p.opportunities, shared=CUSTOMERS),
     "product_stock": _lazy(lambda p: callsheet.product_stock(p.inventory_mart)),
-    "call_sheet": _lazy(lambda p: p.call_sheet),
+    "call_sheet": _lazy(lambda p: p.call_sheet, shared=LINES),
     # drill-downs
     "ranked_list": _over_build(lambda p: explore.ranked_list(p.opportunities)),
     "headline_totals": _over_build(lambda p: explore.headline_totals(explore.ranked_list(p.opportunities))),
@@ -279,8 +279,8 @@ QUERIES: dict[str, Query] = {
     "dq_same_across_branches": _stage(lambda t: quality.same_across_branches(t.stg_products)),
     "dq_flagged_have_reason": _over_build(lambda p: quality.flagged_have_reason(p.opportunities)),
     # analyses
-    "gap_multiples": _lazy(lambda p: analyses.gap_multiples(p.days, p.purchase_invoices, CFG)),
-    "early_drop_predicts": _lazy(lambda p: analyses.early_drop_predicts(p.customer_years, p.dates), shared=True),
+    "gap_multiples": _lazy(lambda p: analyses.gap_multiples(p.days, p.purchase_invoices, CFG), shared=LINES),
+    "early_drop_predicts": _lazy(lambda p: analyses.early_drop_predicts(p.customer_years, p.dates), shared=CUSTOMERS),
     "duplicate_line_proof": _lazy(lambda p: analyses.duplicate_line_proof(p.money_lines, p.staged.stg_orders)),
     "cost_basis_check": _lazy(lambda p: analyses.cost_basis_check(p.money_lines, p.staged.stg_purchases)),
     "consignment_nets_zero": _lazy(lambda p: analyses.consignment_nets_zero(p.lines)),

@@ -29,8 +29,16 @@ MARTS = (
 )
 LAYER_OF = {**dict.fromkeys(STAGING, "staging"), **dict.fromkeys(SEEDS, "seeds"), **dict.fromkeys(MARTS, "marts")}
 
+# what the money tables read of the lines
+MONEY_COLUMNS = (
+    "sales_line_id", "company_id", "invoice_no", "bill_to_customer_id", "ship_to_customer_id", "product_id", "sell_group",
+    "ship_date", "quantity", "ext_price", "ext_cost", "ext_cogs", "customer_po", "gross_profit", "is_financial",
+    "is_purchase", "is_return_credit", "is_consignment",
+)
+
 # read by two or more branches of the plans that ask for them
-SHARED = frozenset({"invoice_exceptions", "customer_days", "purchase_invoices", "scores"})
+LINES = frozenset({"money_lines", "invoice_exceptions"})
+CUSTOMERS = LINES | {"customer_days", "purchase_invoices", "scores"}
 
 
 class Pipeline:
@@ -42,19 +50,19 @@ class Pipeline:
 
     def __init__(
         self, staged, settings: Settings = Settings(), table: Callable[[str, DataFrame], DataFrame] | None = None,
-        keep: Callable[[DataFrame], DataFrame] | None = None,
+        keep: Callable[[DataFrame], DataFrame] | None = None, built: bool = False,
     ):
         self.staged = staged
         self.cfg = settings
         self._table = table or (lambda _name, df: df)
         self._keep = keep
+        self.built = built
 
     @classmethod
-    def for_query(cls, spark, staged, settings: Settings = Settings(), shared: bool = False) -> "Pipeline":
-        """Lazy tables; with ``shared``, those in ``SHARED`` are written once and read back."""
+    def for_query(cls, spark, staged, settings: Settings = Settings(), shared: frozenset = frozenset()) -> "Pipeline":
+        """Lazy tables; those named in ``shared`` are written once and read back."""
         scratch = Scratch(tune(spark))
-        table = (lambda name, df: scratch.keep(df) if name in SHARED else df) if shared else None
-        return cls(staged, settings, table, scratch.keep)
+        return cls(staged, settings, lambda name, df: scratch.keep(df) if name in shared else df, scratch.keep)
 
     @property
     def keep(self):
@@ -71,7 +79,9 @@ class Pipeline:
     @cached_property
     def money_lines(self) -> DataFrame:
         core = getattr(self.staged, "stg_sales_core", None)
-        return self.lines if core is None else rules.money_flags(core)
+        if core is None:
+            return self.lines
+        return self._table("money_lines", rules.money_flags(core).select(*MONEY_COLUMNS))
 
     @cached_property
     def invoices(self) -> DataFrame:
@@ -140,7 +150,7 @@ class Pipeline:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        extra = rules.exception_transactions(self.corrections, self.headers, self.remap)
+        extra = rules.exception_transactions(self.exceptions, self.remap)
         return self._table("int_customer_transactions", rules.customer_transactions(self.line_transactions, extra))
 
     @cached_property
@@ -173,6 +183,14 @@ class Pipeline:
         )
         return self._table("mart_customers", frame)
 
+    @cached_property
+    def buyers(self) -> DataFrame:
+        """What scoring reads of the customers: the finished mart in a build, otherwise only those columns."""
+        if self.built:
+            return self.customer_mart
+        s = self.staged
+        return marts.buyers(self.days, self.purchase_invoices, s.stg_customers, self.people, s.stg_branches, self.dates)
+
     # ---- other marts ------------------------------------------------------------------------
 
     @cached_property
@@ -199,7 +217,7 @@ class Pipeline:
 
     @cached_property
     def signals(self) -> DataFrame:
-        return opportunity.signals(self.customer_mart, self.customer_years, self.stopped_brands, self.dates, self.cfg)
+        return opportunity.signals(self.buyers, self.customer_years, self.stopped_brands, self.dates, self.cfg)
 
     @cached_property
     def scores(self) -> DataFrame:
@@ -245,7 +263,7 @@ def build(spark, staged, root: str, settings: Settings = Settings()) -> Pipeline
     tune(spark)
     layers = Layers(root, LAYER_OF)
     written = Written({name: layers.put(name, getattr(staged, name)) for name in (*STAGING, *SEEDS)})
-    pipeline = Pipeline(written, settings, layers.put, Scratch(spark).keep)
+    pipeline = Pipeline(written, settings, layers.put, Scratch(spark).keep, built=True)
     for name in BUILD_ORDER:
         getattr(pipeline, name)
     return pipeline
