@@ -36,9 +36,14 @@ MONEY_COLUMNS = (
     "is_purchase", "is_return_credit", "is_consignment",
 )
 
-# read by two or more branches of the plans that ask for them
+# Tables a query writes and reads back. Some are read by several branches of its plan; the others
+# split a plan of many joins, which adaptive execution would otherwise re-plan whole after each stage,
+# and keep the work already done when executors are lost.
 LINES = frozenset({"money_lines", "invoice_exceptions"})
-CUSTOMERS = LINES | {"customer_days", "purchase_invoices", "scores"}
+CUSTOMERS = LINES | {
+    "customer_days", "purchase_invoices", "scores", "int_salespeople", "int_products", "int_customer_product_changes",
+    "mart_customer_years", "buyers", "account_remap",
+}
 
 
 class Pipeline:
@@ -118,7 +123,8 @@ class Pipeline:
 
     @cached_property
     def remap(self) -> DataFrame:
-        return dimensions.account_remap(self.staged.stg_customers, self.staged.seed_customer_groups)
+        frame = dimensions.account_remap(self.staged.stg_customers, self.staged.seed_customer_groups)
+        return self._table("account_remap", frame)
 
     @cached_property
     def buylines(self) -> DataFrame:
@@ -189,7 +195,8 @@ class Pipeline:
         if self.built:
             return self.customer_mart
         s = self.staged
-        return marts.buyers(self.days, self.purchase_invoices, s.stg_customers, self.people, s.stg_branches, self.dates)
+        frame = marts.buyers(self.days, self.purchase_invoices, s.stg_customers, self.people, s.stg_branches, self.dates)
+        return self._table("buyers", frame)
 
     # ---- other marts ------------------------------------------------------------------------
 

@@ -1,4 +1,4 @@
-"""Session settings the wide projections of this library need."""
+"""Session settings that suit the wide projections of this library."""
 
 from __future__ import annotations
 
@@ -8,8 +8,30 @@ from pyspark.sql import SparkSession
 # that and would run interpreted; below the limit Spark generates smaller methods per operator.
 RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
+# Set when the session is created. PySpark records the Python call site of every column operation,
+# several driver round trips each; composing many wide tables would spend its time on that.
+STARTUP_SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def local_session(cores: int | str = 8, memory: str = "12g", name: str = "regain") -> SparkSession:
+    """A local session for tests and benchmarks."""
+    builder = SparkSession.builder.master(f"local[{cores}]").appName(name)
+    local = {
+        "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": memory,
+    }
+    for key, value in {**STARTUP_SETTINGS, **local}.items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return tune(spark)

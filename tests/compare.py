@@ -15,15 +15,9 @@ TABLES = (
 
 
 def session():
-    from pyspark.sql import SparkSession
-
-    spark = (
-        SparkSession.builder.master("local[8]").appName("regain-compare")
-        .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    )
-    spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    from regain.plans.session import local_session
+
+    return local_session(name="regain-compare")
 
 
 def duck(folder: str):
