@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from regain import config as c
 from regain.config import Settings
-from regain.functions.numbers import or_zero, round_half_away, safe_div, sum_when
+from regain.functions.numbers import or_zero, round_half_away, safe_div
 from regain.operators.ranking import row_numbers
 from regain.operators.windows import ReportingDates
 

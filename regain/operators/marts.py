@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from regain.config import Settings
 from regain.functions.numbers import or_zero, safe_div, sum_when
 from regain.functions.text import sorted_text
 from regain.operators.windows import ReportingDates

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from regain.config import Settings
-from regain.operators import analyses, callsheet, dimensions, explore, marts, opportunity, quality, staging, windows
+from regain.functions.text import clean_text
+from regain.operators import analyses, callsheet, explore, marts, opportunity, quality, staging
 from regain.plans import checks
 from regain.plans.pipeline import CUSTOMERS, LINES, SEEDS, STAGING, Pipeline, build
 from regain.plans.session import tune
@@ -165,8 +166,6 @@ def encoding_profile(spark: SparkSession, path: str) -> DataFrame:
 
 def clean_text_query(spark: SparkSession, path: str) -> DataFrame:
     """Whole document texts, garbled and padded, then repaired."""
-    from regain.functions.text import clean_text
-
     docs = spark.read.parquet(f"{path}/documents.parquet")
     dirty = F.concat(F.lit("  "), F.regexp_replace("text", "'", untidy.GARBLED_APOSTROPHE), F.lit("\u0000 "))
     return docs.withColumn("dirty", dirty).select("doc_id", clean_text("dirty").alias("text"))
