@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from regain.llm.mixing import OP4_SQL, op4_mix_sources
 from regain.llm.tokens import op1_token_counts
 
-QUERIES = {"op1_token_counts": op1_token_counts}
+QUERIES = {
+    "op1_token_counts": op1_token_counts,
+    "op4_mix_sources": op4_mix_sources,
+}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_mix_sources": OP4_SQL,
+}
