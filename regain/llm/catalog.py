@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from regain.llm.mixing import OP4_SQL, op4_mix_sources
+from regain.llm.quality import op10_quality
 from regain.llm.tokens import op1_token_counts
+from regain.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
+    "op2_toxicity": op2_toxicity,
     "op4_mix_sources": op4_mix_sources,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
