@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from regain.llm.decontaminate import op7_decontaminate
+from regain.llm.fingerprints import op9_fingerprints
 from regain.llm.mixing import OP4_SQL, op4_mix_sources
 from regain.llm.quality import op10_quality
 from regain.llm.tokens import op1_token_counts
@@ -11,6 +13,8 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op4_mix_sources": op4_mix_sources,
+    "op7_decontaminate": op7_decontaminate,
+    "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
 }
 
