@@ -5,6 +5,7 @@ from __future__ import annotations
 from regain.llm.decontaminate import op7_decontaminate
 from regain.llm.fingerprints import op9_fingerprints
 from regain.llm.mixing import OP4_SQL, op4_mix_sources
+from regain.llm.ngram_join import OP3_SQL, op3_ngram_join
 from regain.llm.quality import op10_quality
 from regain.llm.tokens import op1_token_counts
 from regain.llm.toxicity import op2_toxicity
@@ -12,6 +13,7 @@ from regain.llm.toxicity import op2_toxicity
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
+    "op3_ngram_join": op3_ngram_join,
     "op4_mix_sources": op4_mix_sources,
     "op7_decontaminate": op7_decontaminate,
     "op9_fingerprints": op9_fingerprints,
@@ -19,5 +21,6 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_ngram_join": OP3_SQL,
     "op4_mix_sources": OP4_SQL,
 }
