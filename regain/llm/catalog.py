@@ -7,6 +7,7 @@ from regain.llm.fingerprints import op9_fingerprints
 from regain.llm.mixing import OP4_SQL, op4_mix_sources
 from regain.llm.ngram_join import OP3_SQL, op3_ngram_join
 from regain.llm.quality import op10_quality
+from regain.llm.suffix_dedup import OP8_SQL, op8_suffix_dedup
 from regain.llm.tokens import op1_token_counts
 from regain.llm.toxicity import op2_toxicity
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_ngram_join": op3_ngram_join,
     "op4_mix_sources": op4_mix_sources,
     "op7_decontaminate": op7_decontaminate,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
 }
@@ -23,4 +25,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_ngram_join": OP3_SQL,
     "op4_mix_sources": OP4_SQL,
+    "op8_suffix_dedup": OP8_SQL,
 }
