@@ -10,12 +10,16 @@ from regain.llm.quality import op10_quality
 from regain.llm.suffix_dedup import OP8_SQL, op8_suffix_dedup
 from regain.llm.tokens import op1_token_counts
 from regain.llm.toxicity import op2_toxicity
+from regain.llm.url_filter import op6_url_filter
+from regain.llm.warc import OP5_SQL, op5_warc
 
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
     "op4_mix_sources": op4_mix_sources,
+    "op5_warc": op5_warc,
+    "op6_url_filter": op6_url_filter,
     "op7_decontaminate": op7_decontaminate,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprints": op9_fingerprints,
@@ -25,5 +29,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_ngram_join": OP3_SQL,
     "op4_mix_sources": OP4_SQL,
+    "op5_warc": OP5_SQL,
     "op8_suffix_dedup": OP8_SQL,
 }
