@@ -114,12 +114,12 @@ def mix(
     narrow = work.keep(measured.select(key, "source", "size", F.col("_h").alias("h")))
     sizes = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sizes, weights, max_repeats)
-    limits = hash_thresholds(narrow, targets, work).withColumnRenamed("source", "_s")
+    limits = hash_thresholds(narrow, targets, work).withColumnsRenamed({"source": "_s", "rounds": "_rounds", "below": "_below"})
     rows = measured if whole_rows else narrow.withColumnRenamed("h", "_h")
-    taken = (F.col("rounds") + (F.col("_h") < F.col("below")).cast("bigint")) * F.col("size")
+    taken = (F.col("_rounds") + (F.col("_h") < F.col("_below")).cast("bigint")) * F.col("size")
     mixed = rows.join(limits, F.col("source").eqNullSafe(F.col("_s"))).withColumn("taken", taken)
     if whole_rows:
-        return mixed.drop("_s", "_h", "rounds", "below")
+        return mixed.drop("_s", "_h", "_rounds", "_below")
     return mixed.select(key, *own)
 
 

@@ -115,8 +115,8 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
-def with_order(docs: DataFrame, work: Workspace, key: str, text: str) -> DataFrame:
-    """``ord, text`` and the other columns: ``ord`` is a number that ascends with the key.
+def with_order(docs: DataFrame, work: Workspace, key: str, text: str) -> tuple[DataFrame, bool]:
+    """The rows with ``_ord``, a number that ascends with the key, and whether rows may share one.
 
     Unique keys are their own order. Else different rows are numbered by key (NULL last), then text; rows equal in
     both share a number and so are treated alike.
@@ -124,17 +124,24 @@ def with_order(docs: DataFrame, work: Workspace, key: str, text: str) -> DataFra
     docs = docs.withColumn(text, F.coalesce(F.col(text), F.lit("")))
     repeated = docs.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1)).limit(1).count()
     if not repeated:
-        return docs.withColumn("ord", F.col(key).cast("bigint"))
+        return docs.withColumn("_ord", F.col(key).cast("bigint")), False
     marked = docs.withColumn("_mark", F.xxhash64(text))
     rows = marked.select(F.col(key).alias("_key"), F.col("_mark").alias("_m")).distinct()
     order = [F.col("_key").asc_nulls_last(), F.col("_m")]
-    numbers = work.keep(row_numbers(rows, [], order, "ord", work.keep))
+    numbers = work.keep(row_numbers(rows, [], order, "_ord", work.keep))
     same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_mark") == F.col("_m"))
-    return marked.join(numbers, same).drop("_key", "_m", "_mark")
+    return marked.join(numbers, same).drop("_key", "_m", "_mark"), True
+
+
+def ordered_spans(docs: DataFrame, work: Workspace, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``_ord``, and the spans to remove by ``_ord``. Rows that share a number are judged once."""
+    rows, shared = with_order(docs, work, key, text)
+    texts = rows.select("_ord", F.col(text).alias("text"))
+    return rows, removed_spans(texts.dropDuplicates(["_ord"]) if shared else texts, work)
 
 
 def repeated_places(texts: DataFrame) -> DataFrame:
-    """``ord, start`` of the segments whose anchor occurs more than once."""
+    """``_ord, start`` of the segments whose anchor occurs more than once."""
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,19 +152,19 @@ def repeated_places(texts: DataFrame) -> DataFrame:
         for batch in batches:
             orders = batch.column(0).to_numpy(zero_copy_only=False)
             for _, owner, start, _, h, _ in segments(_texts(batch, 1)):
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(orders[owner]), pa.array(start)], ["h", "ord", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(orders[owner]), pa.array(start)], ["h", "_ord", "start"])
 
     again = texts.mapInArrow(anchors, "h long").groupBy("h").count().filter("count > 1").select("h")
-    return texts.mapInArrow(places, "h long, ord long, start long").join(again, "h", "left_semi").select("ord", "start")
+    return texts.mapInArrow(places, "h long, _ord long, start long").join(again, "h", "left_semi").select("_ord", "start")
 
 
 def beside(texts: DataFrame, lists: DataFrame, positions: int, how: str = "inner") -> DataFrame:
     """Joins each text with its list; small lists go to the texts, large ones meet them in a shuffle."""
-    return texts.join(F.broadcast(lists) if positions <= MAX_BROADCAST_POSITIONS else lists, "ord", how)
+    return texts.join(F.broadcast(lists) if positions <= MAX_BROADCAST_POSITIONS else lists, "_ord", how)
 
 
 def cut_segments(listed: DataFrame) -> DataFrame:
-    """``h, digest, ord, start, strings, bytes``: the segments whose anchors are repeated."""
+    """``h, digest, _ord, start, strings, bytes``: the segments whose anchors are repeated."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -179,11 +186,11 @@ def cut_segments(listed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[use]), pa.array(digest), pa.array(orders[owner[use]]), pa.array(start[use]), pa.array(count[use]),
                      pa.array(parts, pa.binary())],
-                    ["h", "digest", "ord", "start", "strings", "bytes"],
+                    ["h", "digest", "_ord", "start", "strings", "bytes"],
                 )
 
-    return listed.select("ord", "text", "starts").mapInArrow(
-        cut, "h long, digest long, ord long, start long, strings long, bytes binary"
+    return listed.select("_ord", "text", "starts").mapInArrow(
+        cut, "h long, digest long, _ord long, start long, strings long, bytes binary"
     )
 
 
@@ -211,14 +218,14 @@ def equal_strings(parts: list[bytes]) -> np.ndarray:
 
 
 def shard_spans(shards: DataFrame) -> DataFrame:
-    """``ord, begin, end`` of bytes covered by repeated strings. An anchor's segments lie in one partition."""
+    """``_ord, begin, end`` of bytes covered by repeated strings. An anchor's segments lie in one partition."""
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
         if got is None or not got.num_rows:
             return
-        got = got.sort_by([("h", "ascending"), ("ord", "ascending"), ("start", "ascending")])
-        h, orders, starts = (got.column(c).to_numpy() for c in ("h", "ord", "start"))
+        got = got.sort_by([("h", "ascending"), ("_ord", "ascending"), ("start", "ascending")])
+        h, orders, starts = (got.column(c).to_numpy() for c in ("h", "_ord", "start"))
         parts = got.column("bytes").to_pylist()
         ends = np.append(np.flatnonzero(h[1:] != h[:-1]) + 1, len(h))
         sizes = np.cumsum([len(p) + 1 for p in parts])
@@ -231,7 +238,7 @@ def shard_spans(shards: DataFrame) -> DataFrame:
             yield _solve_shard(parts[begin:end], orders[begin:end], starts[begin:end])
             begin = end
 
-    return shards.select("h", "ord", "start", "bytes").mapInArrow(solve, "ord long, begin long, end long")
+    return shards.select("h", "_ord", "start", "bytes").mapInArrow(solve, "_ord long, begin long, end long")
 
 
 def _solve_shard(parts: list[bytes], orders: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
@@ -247,7 +254,7 @@ def _solve_shard(parts: list[bytes], orders: np.ndarray, starts: np.ndarray) ->
     first = np.flatnonzero(fresh)
     last = np.append(first[1:] - 1, len(late) - 1) if len(late) else first
     return pa.RecordBatch.from_arrays(
-        [pa.array(orders[part[first]]), pa.array(place[first]), pa.array(place[last] + LENGTH)], ["ord", "begin", "end"]
+        [pa.array(orders[part[first]]), pa.array(place[first]), pa.array(place[last] + LENGTH)], ["_ord", "begin", "end"]
     )
 
 
@@ -265,34 +272,34 @@ def hot_spans(hot: DataFrame, work: Workspace) -> DataFrame:
                 halves = np.frombuffer(marks, np.int64).reshape(-1, 2)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, o)), pa.array(np.arange(s, s + n)), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
-                    ["ord", "begin", "m1", "m2"],
+                    ["_ord", "begin", "m1", "m2"],
                 )
 
-    marked = hot.select("ord", "start", "bytes").mapInArrow(strings, "ord long, begin long, m1 long, m2 long")
-    firsts = marked.groupBy("m1", "m2").agg(F.min("ord").alias("o"), F.count("*").alias("k")).filter("k > 1").drop("k")
+    marked = hot.select("_ord", "start", "bytes").mapInArrow(strings, "_ord long, begin long, m1 long, m2 long")
+    firsts = marked.groupBy("m1", "m2").agg(F.min("_ord").alias("o"), F.count("*").alias("k")).filter("k > 1").drop("k")
     again = work.keep(marked.join(firsts, ["m1", "m2"]))
     # the earliest place within the earliest document
-    places = again.filter("ord = o").groupBy("m1", "m2").agg(F.min("begin").alias("b"))
-    late = again.join(places, ["m1", "m2"]).filter("ord <> o OR begin <> b")
-    return late.select("ord", "begin", (F.col("begin") + LENGTH).alias("end"))
+    places = again.filter("_ord = o").groupBy("m1", "m2").agg(F.min("begin").alias("b"))
+    late = again.join(places, ["m1", "m2"]).filter("_ord <> o OR begin <> b")
+    return late.select("_ord", "begin", (F.col("begin") + LENGTH).alias("end"))
 
 
 def removed_spans(texts: DataFrame, work: Workspace) -> DataFrame:
-    """``ord, begin, end``: spans (they may overlap) of bytes covered by a string that begins earlier, too."""
+    """``_ord, begin, end``: spans (they may overlap) of bytes covered by a string that begins earlier, too."""
     places = work.keep(repeated_places(texts))
-    lists = work.keep(places.groupBy("ord").agg(F.collect_list("start").alias("starts")))
+    lists = work.keep(places.groupBy("_ord").agg(F.collect_list("start").alias("starts")))
     found = work.keep(cut_segments(beside(texts, lists, places.count())))
     work.drop(places, lists)
     narrow = found.drop("bytes")
-    earliest = F.min(F.struct("ord", "start"))
+    earliest = F.min(F.struct("_ord", "start"))
     classes = work.keep(
         narrow.groupBy("h", "digest", "strings").agg(earliest.alias("e"), F.count("*").alias("k"))
     )
-    late = narrow.join(classes.filter("k > 1"), ["h", "digest", "strings"]).filter(F.struct("ord", "start") != F.col("e"))
-    spans = late.select("ord", F.col("start").alias("begin"), (F.col("start") + F.col("strings") + (LENGTH - 1)).alias("end"))
+    late = narrow.join(classes.filter("k > 1"), ["h", "digest", "strings"]).filter(F.struct("_ord", "start") != F.col("e"))
+    spans = late.select("_ord", F.col("start").alias("begin"), (F.col("start") + F.col("strings") + (LENGTH - 1)).alias("end"))
     kinds = classes.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    one_each = classes.join(kinds, "h").select("h", "kinds", F.col("e.ord").alias("ord"), F.col("e.start").alias("start"))
-    apart = work.keep(found.select("h", "ord", "start", "bytes").join(one_each, ["h", "ord", "start"]))
+    one_each = classes.join(kinds, "h").select("h", "kinds", F.col("e._ord").alias("_ord"), F.col("e.start").alias("start"))
+    apart = work.keep(found.select("h", "_ord", "start", "bytes").join(one_each, ["h", "_ord", "start"]))
     cold = apart.filter(F.col("kinds") <= HOT_SEGMENTS)
     total = cold.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = cold.repartition(max(8, 2 * total // SHARD_BYTES), "h")
@@ -324,8 +331,8 @@ def cut_out(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def with_spans(texts: DataFrame, spans: DataFrame, work: Workspace) -> DataFrame:
-    """The rows of ``texts`` with ``spans``, an array of (begin, end), NULL where nothing is removed."""
-    lists = work.keep(spans.groupBy("ord").agg(F.collect_list(F.struct("begin", "end")).alias("spans")))
+    """The rows of ``texts`` with ``_spans``, an array of (begin, end), NULL where nothing is removed."""
+    lists = work.keep(spans.groupBy("_ord").agg(F.collect_list(F.struct("begin", "end")).alias("_spans")))
     return beside(texts, lists, 2 * spans.count(), "left")
 
 
@@ -337,8 +344,7 @@ def removals(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str =
     100 bytes lose none; rows with one id are ordered by their text, equal rows are treated alike, and a NULL id
     comes last; other columns are not read; an empty table gives an empty table.
     """
-    base = with_order(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), work, "id", "text")
-    spans = removed_spans(base.select("ord", "text"), work)
+    base, spans = ordered_spans(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), work, "id", "text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -354,7 +360,7 @@ def removals(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str =
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return with_spans(base, spans, work).select("id", "text", "spans").mapInArrow(
+    return with_spans(base, spans, work).select("id", "text", "_spans").mapInArrow(
         describe, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
 
@@ -366,9 +372,7 @@ def without_repeats(docs: DataFrame, work: Workspace, key: str = "doc_id", text:
     the table has it, is set to the new length; every other column and a NULL text stay as they are.
     """
     names = docs.columns
-    base = with_order(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), work, "id", "text")
-    spans = removed_spans(base.select("ord", "text"), work)
-    marked = with_order(docs.withColumn("_null", F.col(text).isNull()), work, key, text)
+    marked, spans = ordered_spans(docs.withColumn("_null", F.col(text).isNull()), work, key, text)
 
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
         out = []
@@ -390,8 +394,8 @@ def without_repeats(docs: DataFrame, work: Workspace, key: str = "doc_id", text:
             columns[at] = cut(columns[at], found)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
-    joined = with_spans(marked, spans, work).select(*names, "_null", "spans")
-    schema = joined.drop("spans").schema
+    joined = with_spans(marked, spans, work).select(*names, "_null", "_spans")
+    schema = joined.drop("_spans").schema
     out = joined.mapInArrow(apply, schema)
     out = out.withColumn(text, F.when(~F.col("_null"), F.col(text))).drop("_null")
     if "n_chars" in names:

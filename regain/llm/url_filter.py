@@ -26,8 +26,9 @@ RULES = (
 )
 ALLOW, BLOCK = "allow", "block"
 
-# symbols of a URL; 0 stands before it, 1 after it, 2 for every other character
-SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789./-_%:@~+=&"
+# symbols of a URL; 0 stands before it, 1 after it, 2 for every other character. All digits are one symbol: with it
+# the counts of all orders are 2.1 million numbers per model, whatever the corpus.
+SYMBOLS = "abcdefghijklmnopqrstuvwxyz0./-_%:@~+"
 SIZE = len(SYMBOLS) + 3
 ORDER = 3
 FOLDS = 5
@@ -36,6 +37,7 @@ BINS, BIN_RANGE = 512, 4.0
 _CODES = np.full(256, 2, dtype=np.int64)
 for _i, _c in enumerate(SYMBOLS):
     _CODES[ord(_c)] = _i + 3
+_CODES[ord("0") : ord("9") + 1] = _CODES[ord("0")]
 
 
 def parts(url: Column) -> tuple[Column, Column]:

@@ -344,8 +344,9 @@ def archive_pages(
     are not read; an empty table gives empty files and no rows.
     """
     kind = pages.schema[key].dataType.simpleString()
-    write_arc(pages, arc := work.path("arc"), key, url, body)
-    convert(work.spark, arc, warc := work.path("warc"), kind, min_bytes)
+    arc, warc = work.path(), work.path()
+    write_arc(pages, arc, key, url, body)
+    convert(work.spark, arc, warc, kind, min_bytes)
     work.delete(arc)
     return warc_records(archive_files(work.spark, warc), key, kind)
 
