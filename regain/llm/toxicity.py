@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from regain.llm.common import WordHashes, shingle_hashes, table
 
 # at most this many labelled rows are used for fitting, those with the smallest hash of their id
-TRAIN_ROWS = 16_000
+TRAIN_ROWS = 12_000
 HASH_SIZE = 1 << 22
 FOLDS = 4
 RIDGE = 1.0
@@ -62,14 +62,14 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, steps: int = 12) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last weight is the intercept, which is not shrunk."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1))]).astype(np.float32)
     penalty = np.full(x.shape[1], ridge)
     penalty[-1] = 1e-6
-    weights = np.zeros(x.shape[1])
+    weights = np.zeros(x.shape[1], dtype=np.float64)
     for _ in range(steps):
         p = sigmoid(x @ weights)
         gradient = x.T @ (p - y) + penalty * weights
-        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(penalty)
+        curve = (x.T * (p * (1 - p) + 1e-9)) @ x + np.diag(penalty)
         step = np.linalg.solve(curve, gradient)
         weights -= step
         if np.abs(step).max() < 1e-4:
@@ -83,7 +83,7 @@ def chosen_features(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     ids, place = np.unique(np.concatenate(rows), return_inverse=True)
-    hit = np.bincount(place, weights=y[owner], minlength=len(ids))
+    hit = np.bincount(place[y[owner] > 0], minlength=len(ids))
     seen = np.bincount(place, minlength=len(ids))
     share = (seen + 1) / (len(rows) + 2)
     positives = y.sum()
@@ -95,7 +95,7 @@ def chosen_features(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
 
 def matrix(rows: Sequence[np.ndarray], features: np.ndarray) -> np.ndarray:
     """Document by chosen feature, 0 or 1."""
-    out = np.zeros((len(rows), len(features)))
+    out = np.zeros((len(rows), len(features)), dtype=np.float32)
     order = np.argsort(features, kind="stable")
     ordered = features[order]
     for i, row in enumerate(rows):
@@ -205,21 +205,27 @@ def training_rows(labelled: DataFrame, categories: Sequence[str]) -> pa.Table:
     return labelled.select("doc_id", "text", *names).mapInArrow(featurise, schema).toArrow()
 
 
+def list_rows(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """A list column as one array per row, all views of one block of memory."""
+    chunk = column.combine_chunks()
+    chunk = pa.concat_arrays(chunk.chunks) if isinstance(chunk, pa.ChunkedArray) else chunk
+    flat, ends = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+
 def train(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS, categories: Sequence[str] = CATEGORIES) -> Chain:
     """Fit the chain on at most ``limit`` labelled documents; without any, it flags nothing."""
     one = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "toxic")
     sample = one.orderBy(F.xxhash64("doc_id"), "doc_id", F.desc("toxic")).limit(limit)
     got = training_rows(category_labels(docs, sample), categories)
-    table_rows = got.sort_by([("doc_id", "ascending"), ("nearest", "ascending")]).to_pydict()
-    seen: set = set()
-    use = []
-    for i, key in enumerate(zip(table_rows["nearest"], table_rows[categories[-1]])):
-        if key not in seen:
-            seen.add(key)
-            use.append(i)
-    rows = [np.array(table_rows["found"][i], dtype=np.int64) for i in use]
-    marks = np.array([[table_rows[c][i] for c in categories] for i in use], dtype=float).reshape(len(use), len(categories))
-    folds = np.array([zlib.crc32(str(table_rows["doc_id"][i]).encode()) % FOLDS for i in use], dtype=int)
+    got = got.sort_by([("doc_id", "ascending"), ("nearest", "ascending")]).combine_chunks()
+    marks = np.stack([got.column(c).to_numpy() for c in categories], axis=1).astype(float)
+    # near copies of one text with one label count once
+    seen = np.stack([got.column("nearest").to_numpy(), marks[:, -1].astype(np.int64)], axis=1)
+    use = np.sort(np.unique(seen, axis=0, return_index=True)[1])
+    got, marks = got.take(pa.array(use)), marks[use]
+    rows = list_rows(got.column("found"))
+    folds = np.array([zlib.crc32(str(i).encode()) % FOLDS for i in got.column("doc_id").to_pylist()], dtype=int)
     return fit_chain(rows, marks, folds, categories)
 
 
