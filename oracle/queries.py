@@ -5,9 +5,8 @@ Output columns are portable types: money and ratios as double, counts as bigint,
 
 from __future__ import annotations
 
+from oracle import declared
 from oracle.models import with_models
-from regain import config as c
-from regain.plans import checks
 
 DATES = set(
     "ship_date order_date required_date received_date last_payment_date as_of_date first_purchase_date last_purchase_date "
@@ -288,8 +287,8 @@ ORACLE["call_sheet"] = out(
 # ---- drill-downs -------------------------------------------------------------------------------
 
 _LABELLED = (
-    "(select * replace (map {" + ", ".join(f"'{k}': '{v}'" for k, v in c.TYPE_LABELS.items())
-    + "}[opportunity_type] as opportunity_type) from m_opps where is_flagged)"
+    "(select * replace (map {'early_warning': 'Early warning', 'declining': 'Declining', 'recovering': 'Recovering'}[opportunity_type] "
+    "as opportunity_type) from m_opps where is_flagged)"
 )
 ORACLE["ranked_list"] = out(
     _LABELLED,
@@ -326,19 +325,27 @@ ORACLE["top_brand_drops"] = out(
     "customer_id position brand_code brand gp_prior_12m gp_last_12m is_mostly_stopped",
 )
 ORACLE["recent_invoices"] = out(
-    "(with i as (select customer_id, ship_date, invoice_no, ship_branch_name, count(*) filter (row_source = 'product_line') as lines, "
-    "sum(revenue) as sales, sum(gross_profit) as gross_profit from m_detail where is_financial and customer_id is not null group by all) "
-    "select *, row_number() over (partition by customer_id order by ship_date desc, invoice_no, ship_branch_name nulls last) as position from i "
-    "qualify row_number() over (partition by customer_id order by ship_date desc, invoice_no, ship_branch_name nulls last) <= 15)",
+    # every customer's invoices as one ordered list, cut at fifteen and laid out again
+    "(with part as (select customer_id, invoice_no, ship_date, ship_branch_name, row_source = 'product_line' as is_line, revenue, gross_profit "
+    "from m_detail where is_financial and customer_id is not null), "
+    "bill as (select customer_id as c, {'d': ship_date, 'i': invoice_no, 'b': ship_branch_name, 'n': sum(is_line::int), 's': sum(revenue), "
+    "'p': sum(gross_profit)} as x from part group by customer_id, invoice_no, ship_date, ship_branch_name), "
+    "lists as (select c, list(x order by x.d desc, x.i, x.b nulls last) as xs from bill group by c), "
+    "laid as (select c, k, xs[k] as x from lists, unnest(range(1, least(len(xs), 15) + 1)) as r(k)) "
+    "select c as customer_id, x.d as ship_date, x.i as invoice_no, x.b as ship_branch_name, x.n as lines, x.s as sales, x.p as gross_profit, "
+    "k as position from laid)",
     "customer_id ship_date invoice_no ship_branch_name lines sales gross_profit position",
 )
 ORACLE["sheet_by_brand"] = out("(select * from m_sheet where product_rank <= 10)", "customer_id product_rank " + SHEET_COLUMNS)
 ORACLE["product_type_reference"] = out(
-    "(with b as (select product_type, product_type_desc, coalesce(brand_desc, brand) as brand, sum(revenue_last_12m) as r from m_prodmart "
-    "where not is_non_product and product_type is not null group by all), "
-    "k as (select *, row_number() over (partition by product_type order by r desc, brand) as n from b) "
-    "select product_type, product_type_desc, count(*) filter (r > 0) as brands_sold_last_12m, sum(r) as revenue_last_12m, "
-    "string_agg(case when n <= 5 then brand end, ', ' order by n) as top_brands from k group by all)",
+    # a brand's place is one more than the brands of its type that sell more, or as much under an earlier name
+    "(with sold as (select product_type as t, product_type_desc as d, coalesce(brand_desc, brand) as name, sum(revenue_last_12m) as money from m_prodmart "
+    "where product_type is not null and not coalesce(is_non_product, true) group by t, d, name), "
+    "placed as (select a.*, 1 + count(z.t) as place from sold a left join sold z on z.t = a.t and z.d is not distinct from a.d "
+    "and (z.money > a.money or z.money = a.money and z.name < a.name) group by a.t, a.d, a.name, a.money), "
+    "top as (select t, d, string_agg(name, ', ' order by place) as names from placed where place <= 5 group by t, d) "
+    "select p.t as product_type, p.d as product_type_desc, sum((money > 0)::int) as brands_sold_last_12m, sum(money) as revenue_last_12m, "
+    "any_value(names) as top_brands from placed p left join top on top.t = p.t and top.d is not distinct from p.d group by p.t, p.d)",
     "product_type product_type_desc brands_sold_last_12m revenue_last_12m top_brands",
 )
 
@@ -367,20 +374,20 @@ def _check(check: str, table: str, column: str, severity: str, rows: str, sample
 ORACLE["dq_unique"] = with_models(" union all ".join(
     _check("unique", t, k, "error", "count(*)", "min(k)",
            f"(select {k}::varchar as k from {MODEL_OF[t]} where {k} is not null group by {k} having count(*) > 1)")
-    for t, k in checks.UNIQUE
+    for t, k in declared.UNIQUE
 ))
 ORACLE["dq_not_null"] = with_models(" union all ".join(
-    _check("not_null", t, k, "error", f"count(*) - count({k})", "null", MODEL_OF[t]) for t, ks in checks.NOT_NULL.items() for k in ks
+    _check("not_null", t, k, "error", f"count(*) - count({k})", "null", MODEL_OF[t]) for t, ks in declared.NOT_NULL.items() for k in ks
 ))
 ORACLE["dq_accepted_values"] = with_models(" union all ".join(
     _check("accepted_values", t, k, "error", "count(*)", f"min({k})",
            f"{MODEL_OF[t]} where {k} not in ({', '.join(chr(39) + v + chr(39) for v in vs)})")
-    for t, k, vs in checks.ACCEPTED_VALUES
+    for t, k, vs in declared.ACCEPTED_VALUES
 ))
 ORACLE["dq_relationships"] = with_models(" union all ".join(
     _check("relationships", t, k, severity, "count(*)", f"min({k})",
            f"{MODEL_OF[t]} where {k} is not null and {k} not in (select {pk} from {MODEL_OF[p]} where {pk} is not null)")
-    for t, k, p, pk, severity in checks.RELATIONSHIPS
+    for t, k, p, pk, severity in declared.RELATIONSHIPS
 ))
 ORACLE["dq_reconcile_headers"] = out(
     "(select d as detail_total, h as header_total, abs(d - h) <= 1.00 as is_ok from (select "
@@ -388,14 +395,27 @@ ORACLE["dq_reconcile_headers"] = out(
     "(select sum(item_total) from s_orders) as h))",
     "detail_total header_total is_ok",
 )
+# what each table contributes to which side of which check; sides are then added up
+_TIES = (
+    ("row count", "actual", "count(*)", "m_detail"),
+    ("row count", "expected", "count(*)", "m_lines"),
+    ("row count", "expected", "count(*)", "m_headers"),
+    ("row count", "expected", "count(*)", "m_corrections"),
+    ("detail revenue", "actual", "sum(revenue)", "m_detail"),
+    ("detail revenue", "expected", "sum(ext_price)", "m_tx"),
+    ("customer lifetime sales", "actual", "sum(lifetime_sales)", "m_customers"),
+    ("customer lifetime sales", "expected", "sum(revenue)", "m_detail where is_financial"),
+    ("product lifetime revenue", "actual", "sum(lifetime_revenue)", "m_prodmart"),
+    ("product lifetime revenue", "expected", "sum(revenue)", "m_detail where is_financial and row_source = 'product_line'"),
+    ("customer-year sales", "actual", "sum(full_year_sales)", "m_years"),
+    ("customer-year sales", "expected", "sum(revenue)", "m_detail where is_financial"),
+)
 ORACLE["dq_tie_out"] = out(
-    "(select *, abs(actual - expected) <= 0.01 as is_ok from ("
-    "select 'row count' as check_name, (select count(*) from m_detail)::decimal(30,4) as actual, ((select count(*) from m_lines) + (select count(*) from m_headers) "
-    "+ (select count(*) from m_corrections))::decimal(30,4) as expected "
-    "union all select 'detail revenue', (select sum(revenue) from m_detail), (select sum(ext_price) from m_tx) "
-    "union all select 'customer lifetime sales', (select sum(lifetime_sales) from m_customers), (select sum(revenue) from m_detail where is_financial) "
-    "union all select 'product lifetime revenue', (select sum(lifetime_revenue) from m_prodmart), (select sum(revenue) from m_detail where is_financial and row_source = 'product_line') "
-    "union all select 'customer-year sales', (select sum(full_year_sales) from m_years), (select sum(revenue) from m_detail where is_financial)))",
+    "(with side as (" + " union all ".join(
+        f"select '{check}' as check_name, '{side}' as side, cast({amount} as decimal(30,4)) as amount from {source}"
+        for check, side, amount, source in _TIES
+    ) + "), sums as (pivot side on side in ('actual', 'expected') using sum(amount) group by check_name) "
+    "select *, actual - expected between -0.01 and 0.01 as is_ok from sums)",
     "check_name actual expected is_ok",
 )
 ORACLE["dq_same_across_branches"] = with_models("""
@@ -429,8 +449,7 @@ ORACLE["early_drop_predicts"] = out(
     "band cases ended_down ended_down_10 share_ended_down share_ended_down_10",
 )
 ORACLE["duplicate_line_proof"] = out(
-    "(with d as (select invoice_no, ext_price, count(*) as n from s_sales group by invoice_no, bill_to_customer_id, ship_to_customer_id, product_id, "
-    "ship_date, quantity, ext_price, ext_cost, ext_cogs, customer_po), "
+    "(with d as (select * exclude (sales_line_id, _source_file, _source_line), count(*) as n from s_sales group by all), "
     "i as (select invoice_no, sum(n * ext_price) as a, sum(ext_price) as b from d group by 1 having max(case when ext_price <> 0 then n end) > 1) "
     "select count(*) as invoices, count(*) filter (abs(a - item_total) <= 0.01) as match_with_repeats, "
     "count(*) filter (abs(b - item_total) <= 0.01) as match_without_repeats from i join s_orders using (invoice_no))",
@@ -442,7 +461,7 @@ ORACLE["cost_basis_check"] = out(
     "b as (select product_id, date_trunc('month', received_date) as m, sum(quantity) as bq, sum(ext_purchase_cost)::decimal(18,4)::double as paid "
     "from s_purchases where quantity > 0 group by all having sum(ext_purchase_cost) <> 0), "
     "r as (select unnest(['cogs', 'cost']) as basis, unnest([cogs, cost]) / q::double / (paid / bq::double) as ratio from s join b using (product_id, m)) "
-    "select basis, count(*) as pairs, median(floor(ratio * 100) / 100) as median_ratio, count(*) filter (abs(ratio - 1) <= 0.05)::double / count(*) as share_within_5_pct "
+    "select basis, count(*) as pairs, median(ratio) as median_ratio, count(*) filter (abs(ratio - 1) <= 0.05)::double / count(*) as share_within_5_pct "
     "from r group by basis)",
     "basis pairs median_ratio share_within_5_pct",
 )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from regain.config import Settings
 from regain.functions.numbers import safe_div
 from regain.functions.text import blank_to_null
+from regain.operators.ranking import running_total
 from regain.operators.windows import ReportingDates
 
 
@@ -62,19 +63,20 @@ def early_drop_predicts(years: DataFrame, dates: ReportingDates, min_profit: int
     )
 
 
-# everything a repeated line could differ in
-LINE_CONTENT = (
-    "invoice_no", "bill_to_customer_id", "ship_to_customer_id", "product_id", "ship_date", "quantity", "ext_price",
-    "ext_cost", "ext_cogs", "customer_po",
-)
+# what tells two lines apart that are otherwise the same
+LINE_IDENTITY = ("sales_line_id", "_source_file", "_source_line", "_loaded_at")
 
 
-def duplicate_line_proof(lines: DataFrame, orders: DataFrame, content: Sequence[str] = LINE_CONTENT, tolerance: float = 0.01) -> DataFrame:
+def duplicate_line_proof(lines: DataFrame, orders: DataFrame, identity: Sequence[str] = LINE_IDENTITY, tolerance: float = 0.01) -> DataFrame:
     """Invoices with equal priced lines: does the header match with the repeats, or without them?
 
-    Lines collapse to distinct content with a count first, so repeats never meet in one task.
+    Lines are equal when every column but their identity is. Only invoices with lines that agree in a few columns are
+    compared in all of them, and lines collapse to distinct content with a count, so repeats never meet in one task.
     """
-    per_line = lines.groupBy(*content).agg(F.count("*").alias("copies"))
+    alike = lines.filter("ext_price <> 0").groupBy("invoice_no", "product_id", "quantity", "ext_price").count()
+    invoices = alike.filter("count > 1").select("invoice_no").distinct()
+    content = [c for c in lines.columns if c not in identity]
+    per_line = lines.join(invoices, "invoice_no", "left_semi").groupBy(*content).agg(F.count("*").alias("copies"))
     per_invoice = per_line.groupBy("invoice_no").agg(
         F.sum(F.col("ext_price") * F.col("copies")).alias("with_repeats"),
         F.sum("ext_price").alias("without_repeats"),
@@ -88,11 +90,20 @@ def duplicate_line_proof(lines: DataFrame, orders: DataFrame, content: Sequence[
     )
 
 
-def cost_basis_check(lines: DataFrame, purchases: DataFrame) -> DataFrame:
+def exact_median(df: DataFrame, group: str, value: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``group, median_<value>``: the middle value, or the mean of the two middle ones. Values are numbered by range, so
+    no task holds all values of a group."""
+    known = df.filter(F.col(value).isNotNull()).select(group, value)
+    placed = running_total(known, [group], [F.col(value)], F.lit(1), "_before", keep)
+    sizes = known.groupBy(group).agg(F.count("*").alias("_n"))
+    middle = (F.col("_before") == F.floor((F.col("_n") - 1) / 2)) | (F.col("_before") == F.floor(F.col("_n") / 2))
+    return placed.join(sizes, group).filter(middle).groupBy(group).agg(F.avg(value).alias(f"median_{value}"))
+
+
+def cost_basis_check(lines: DataFrame, purchases: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Sold unit cost against purchase unit cost, same product and month: two candidate cost columns.
 
-    Both sides are summed per product and month before the join. Ratios are counted per hundredth,
-    and the medians are taken over those counts, so no task holds all ratios.
+    Both sides are summed per product and month before the join; the medians are exact.
     """
     month = F.trunc("ship_date", "month").alias("month")
     sold = lines.filter("is_purchase and quantity > 0").groupBy("product_id", month).agg(
@@ -103,14 +114,14 @@ def cost_basis_check(lines: DataFrame, purchases: DataFrame) -> DataFrame:
     )
     pairs = sold.join(bought, ["product_id", "month"]).filter("paid <> 0")
     unit_paid = safe_div(F.col("paid"), F.col("bought"))
-    ratios = pairs.select(F.explode(F.array(*[
+    ratios = keep(pairs.select(F.explode(F.array(*[
         F.struct(F.lit(basis).alias("basis"), (safe_div(F.col(basis), F.col("sold")) / unit_paid).alias("ratio")) for basis in ("cogs", "cost")
-    ])).alias("r")).select("r.basis", (F.floor(F.col("r.ratio") * 100) / 100).alias("step"), (F.abs(F.col("r.ratio") - 1) <= 0.05).alias("near"))
-    counts = ratios.groupBy("basis", "step").agg(F.count("*").alias("n"), F.count_if("near").alias("near"))
-    return counts.groupBy("basis").agg(
-        F.sum("n").alias("pairs"), F.percentile(F.col("step"), F.lit(0.5), F.col("n")).alias("median_ratio"),
-        safe_div(F.sum("near"), F.sum("n")).alias("share_within_5_pct"),
+    ])).alias("r")).select("r.basis", "r.ratio"))
+    shares = ratios.groupBy("basis").agg(
+        F.count("*").alias("pairs"),
+        safe_div(F.count_if(F.abs(F.col("ratio") - 1) <= 0.05), F.count("*")).alias("share_within_5_pct"),
     )
+    return shares.join(exact_median(ratios, "basis", "ratio", keep), "basis", "left")
 
 
 def consignment_nets_zero(lines: DataFrame) -> DataFrame:

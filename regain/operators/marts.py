@@ -49,8 +49,6 @@ def sales_detail(
         F.col("ext_price").alias("revenue"), zero.alias("ext_cost"), F.col("ext_cogs").alias("cogs"), "gross_profit",
         zero.alias("charge_amount"), zero.alias("adjustment_amount"),
     )
-    rows = product_rows.unionByName(header_rows, allowMissingColumns=True).unionByName(correction_rows, allowMissingColumns=True)
-
     names = customers.select("customer_id", "customer_name")
     owner_names = names.select("customer_id", "customer_name")
     # full outer: an account may have a name without a group row, or the other way round
@@ -68,10 +66,13 @@ def sales_detail(
         "product_id", "product_desc", F.col("gl_type").alias("product_type"), F.col("gl_type_desc").alias("product_type_desc"),
         F.col("mapped_buy_line").alias("brand"), F.col("buy_line_desc").alias("brand_desc"),
     )
+    # only product lines have a product: the others join the rows after that, or they would all meet on one NULL key
+    rows = product_rows.join(goods, "product_id", "left")
+    rows = rows.unionByName(header_rows, allowMissingColumns=True).unionByName(correction_rows, allowMissingColumns=True)
     return (
         rows.join(accounts, "bill_to_customer_id", "left").join(ship_to, "ship_to_customer_id", "left")
         .join(outside, "outside_salesperson_id", "left").join(inside, "inside_salesperson_id", "left")
-        .join(sites, "ship_branch_id", "left").join(goods, "product_id", "left")
+        .join(sites, "ship_branch_id", "left")
         .select(
             "sales_line_id", "company_id", "row_source", "ship_date", "order_date", "order_to_ship_days",
             "invoice_no", "reconciliation_status",

@@ -17,7 +17,7 @@ from regain.config import Settings
 from regain.functions.text import clean_text
 from regain.operators import analyses, callsheet, explore, marts, opportunity, quality, staging
 from regain.plans import checks
-from regain.plans.pipeline import CUSTOMERS, LINES, SEEDS, STAGING, Pipeline, build
+from regain.plans.pipeline import CUSTOMERS, INVOICES, LINES, SEEDS, STAGING, Pipeline, build
 from regain.plans.session import tune
 from regain.plans.store import Scratch
 from regain.sources import extracts, untidy
@@ -227,7 +227,7 @@ QUERIES: dict[str, Query] = {
     "product_changes": _lazy(lambda p: p.product_changes),
     "brand_changes": _lazy(lambda p: p.brand_changes),
     # marts
-    "sales_detail": _lazy(lambda p: p.sales_detail),
+    "sales_detail": _lazy(lambda p: p.sales_detail, shared=INVOICES),
     "customer_mart": _lazy(lambda p: p.customer_mart, shared=CUSTOMERS),
     "customer_universe": _lazy(lambda p: marts.customer_universe(p.staged.stg_customers, p.groups, p.days, p.headers)),
     "customer_recency": _lazy(_recency),
@@ -280,8 +280,8 @@ QUERIES: dict[str, Query] = {
     # analyses
     "gap_multiples": _lazy(lambda p: analyses.gap_multiples(p.days, p.purchase_invoices, CFG), shared=LINES),
     "early_drop_predicts": _lazy(lambda p: analyses.early_drop_predicts(p.customer_years, p.dates), shared=CUSTOMERS),
-    "duplicate_line_proof": _lazy(lambda p: analyses.duplicate_line_proof(p.money_lines, p.staged.stg_orders)),
-    "cost_basis_check": _lazy(lambda p: analyses.cost_basis_check(p.money_lines, p.staged.stg_purchases)),
+    "duplicate_line_proof": _lazy(lambda p: analyses.duplicate_line_proof(p.staged.stg_sales, p.staged.stg_orders)),
+    "cost_basis_check": _lazy(lambda p: analyses.cost_basis_check(p.money_lines, p.staged.stg_purchases, p.keep)),
     "consignment_nets_zero": _lazy(lambda p: analyses.consignment_nets_zero(p.lines)),
     "buyline_near_duplicates": _stage(lambda t: analyses.buyline_near_duplicates(t.stg_buylines)),
     "related_accounts": _stage(lambda t: analyses.related_accounts(t.stg_customers)),

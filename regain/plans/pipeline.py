@@ -39,7 +39,9 @@ MONEY_COLUMNS = (
 # Tables a query writes and reads back. Some are read by several branches of its plan; the others
 # split a plan of many joins, which adaptive execution would otherwise re-plan whole after each stage,
 # and keep the work already done when executors are lost.
-LINES = frozenset({"money_lines", "invoice_exceptions"})
+# None of them has a row per line.
+INVOICES = frozenset({"int_invoices"})
+LINES = INVOICES | {"invoice_exceptions"}
 CUSTOMERS = LINES | {
     "customer_days", "purchase_invoices", "scores", "int_salespeople", "int_products", "int_customer_product_changes",
     "mart_customer_years", "buyers", "account_remap",

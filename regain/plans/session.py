@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 # HotSpot never compiles a method over 8000 bytes of bytecode. Fused stages of wide tables exceed
 # that and would run interpreted; below the limit Spark generates smaller methods per operator.
-RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000", "spark.sql.adaptive.enabled": "true"}
 
 # Set when the session is created. PySpark records the Python call site of every column operation,
 # several driver round trips each; composing many wide tables would spend its time on that.
@@ -29,6 +29,8 @@ def local_session(cores: int | str = 8, memory: str = "12g", name: str = "regain
     local = {
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": memory,
+        # the sample files are small: several splits a core, or else most cores idle
+        "spark.sql.files.maxPartitionBytes": "4m",
     }
     for key, value in {**STARTUP_SETTINGS, **local}.items():
         builder = builder.config(key, value)

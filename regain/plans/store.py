@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
 from functools import cached_property
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,27 +29,77 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(file system of the path, function that makes its paths)."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    files, make = _file_system(spark, path)
+    files.delete(make(path), True)
+
+
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Replace the table at ``path`` and return it read back."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace the table at ``path`` and return it read back.
+
+    The new table is written beside the old one and then takes its place, so ``df`` may read the old table, and a
+    write that fails leaves the old table as it was. Other frames over the old files end with them.
+    """
+    spark = df.sparkSession
+    fresh, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
+    files, make = _file_system(spark, path)
+    try:
+        writer = df.write
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(fresh)
+    except BaseException:
+        files.delete(make(fresh), True)
+        raise
+    replaced = files.exists(make(path)) and files.rename(make(path), make(old))
+    if not files.rename(make(fresh), make(path)):
+        if replaced:
+            files.rename(make(old), make(path))
+        raise OSError(f"cannot move {fresh} to {path}")
+    if replaced:
+        files.delete(make(old), True)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @dataclass(frozen=True)
 class Scratch:
-    """Tables one query writes and reads back. They survive the loss of an executor."""
+    """Tables one query writes and reads back. They survive the loss of an executor.
+
+    They are deleted by ``close``, at the end of a ``with`` block, and at the latest when the driver's Python ends.
+    """
 
     spark: SparkSession
 
     @cached_property
     def root(self) -> str:
-        return f"{scratch_root(self.spark)}/regain-{uuid.uuid4().hex}"
+        root = f"{scratch_root(self.spark)}/regain-{uuid.uuid4().hex}"
+        atexit.register(self._delete_quietly, root)
+        return root
+
+    def _delete_quietly(self, root: str) -> None:
+        with contextlib.suppress(Py4JError, OSError):  # the session may be gone
+            delete_folder(self.spark, root)
 
     def keep(self, df: DataFrame) -> DataFrame:
-        return write_table(df, f"{self.root}/{uuid.uuid4().hex}")
+        path = f"{self.root}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        if "root" in self.__dict__:
+            delete_folder(self.spark, self.root)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
 
 
 @dataclass(frozen=True)

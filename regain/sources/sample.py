@@ -43,10 +43,7 @@ class SampleTables:
 
     @cached_property
     def _lineitem(self) -> DataFrame:
-        """Invoice lines; a file of fewer splits than cores is spread, larger inputs pass unchanged."""
-        line = self._table("lineitem")
-        cores = self.spark.sparkContext.defaultParallelism
-        return line.repartition(cores, "l_orderkey") if line.rdd.getNumPartitions() < cores else line
+        return self._table("lineitem")
 
     def _company(self) -> Column:
         return F.lit(self.settings.company_id)
@@ -58,7 +55,14 @@ class SampleTables:
 
     @cached_property
     def _joined_lines(self) -> DataFrame:
-        line = self._lineitem
+        # some lines occur twice, and some consignment transfers come back: copies under line numbers of their own
+        number, free = F.col("l_linenumber"), (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13 + F.col("l_partkey")) % 100 < 25
+        once = self._lineitem
+        again = once.filter((F.col("l_orderkey") % 97 == 0) & (number == 1)).withColumn("l_linenumber", (number + 300).cast("int"))
+        back = once.filter((F.col("l_orderkey") % 19 == 0) & free).withColumns(
+            {"l_linenumber": (number + 600).cast("int"), "l_quantity": -F.col("l_quantity")}
+        )
+        line = once.unionByName(again).unionByName(back)
         order = self._table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         cust, ship = F.col("o_custkey"), F.col("l_shipdate").cast("date")
         code = (
@@ -134,7 +138,7 @@ class SampleTables:
             "price_flag": F.lit("P"),
             "price_contract_id": F.concat(F.lit("PC"), _text(supp % 13)),
             "_source_file": F.concat(F.lit("sales_"), _text(F.year("ship_date")), F.lit(".txt")),
-            "_source_line": (F.col("l_orderkey") % 10000000 * 10 + F.col("l_linenumber")).cast("int"),
+            "_source_line": (F.col("l_orderkey") % 10000000 * 10 + F.col("l_linenumber")).cast("bigint"),
             "_loaded_at": self._loaded(),
         }
 
@@ -207,7 +211,7 @@ class SampleTables:
             zero.alias("handling_expense_in"),
             zero.alias("handling_expense_out"),
             F.concat(F.lit("orders_"), _text(F.year("o_orderdate")), F.lit(".txt")).alias("_source_file"),
-            (key % 100000000 + 2).cast("int").alias("_source_line"),
+            (key % 100000000 + 2).cast("bigint").alias("_source_line"),
             self._loaded().alias("_loaded_at"),
         )
 
@@ -247,7 +251,7 @@ class SampleTables:
             (key % 7 * 100).cast(MONEY).alias("credit_used"),
             (key % 60).cast("int").alias("avg_debtor_days"),
             F.lit("custdata.txt").alias("_source_file"),
-            (key % 100000000 + 2).cast("int").alias("_source_line"),
+            (key % 100000000 + 2).cast("bigint").alias("_source_line"),
             self._loaded().alias("_loaded_at"),
         )
 
@@ -326,7 +330,7 @@ class SampleTables:
             F.lit("Units").alias("target_type"),
             (key % 40).cast("int").alias("target"),
             F.lit("proddata -.txt").alias("_source_file"),
-            (key % 100000000 * 5 + region + 2).cast("int").alias("_source_line"),
+            (key % 100000000 * 5 + region + 2).cast("bigint").alias("_source_line"),
             self._loaded().alias("_loaded_at"),
         )
 
@@ -384,7 +388,7 @@ class SampleTables:
             F.lit(None).cast("string").alias("rank_4"),
             F.lit(None).cast("string").alias("rank_5"),
             F.lit("invendata.txt").alias("_source_file"),
-            (key * 20 + region * 4 + F.col("b.no")).cast("int").alias("_source_line"),
+            (key * 20 + region * 4 + F.col("b.no")).cast("bigint").alias("_source_line"),
             self._loaded().alias("_loaded_at"),
         )
 
