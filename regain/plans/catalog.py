@@ -13,13 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regain.config import Settings
+from regain.config import EXTRACT_PATTERNS, Settings
 from regain.functions.text import clean_text
 from regain.operators import analyses, callsheet, explore, marts, opportunity, quality, staging
 from regain.plans import checks
+from regain.plans.load import load
 from regain.plans.pipeline import CUSTOMERS, INVOICES, LINES, SEEDS, STAGING, Pipeline, build
 from regain.plans.session import tune
-from regain.plans.store import Scratch
+from regain.plans.store import Scratch, move_files
 from regain.sources import extracts, untidy
 from regain.sources.sample import LOADED_AT, SampleTables
 
@@ -147,6 +148,32 @@ def load_summary(spark: SparkSession, path: str) -> DataFrame:
     return summary.agg(F.sum("rows").alias("rows"), F.sum("latin1_lines").alias("latin1_lines"))
 
 
+# the extracts that are found by one exact file name
+SINGLE_FILES = {name: pattern for name, pattern in EXTRACT_PATTERNS.items() if "*" not in pattern}
+
+
+def write_sample_extracts(spark: SparkSession, path: str, folder: str) -> None:
+    """The sample as extract files under ``folder/extracts`` and seed files under ``folder/seeds``."""
+    sample = SampleTables(tune(spark), path, CFG)
+    for name, versions in untidy.sample_extracts(sample).items():
+        for i, raw in enumerate(versions):
+            part = f"{folder}/parts/{name}-{i}"
+            untidy.write_extract(raw.coalesce(1) if name in SINGLE_FILES else raw, part)
+            move_files(spark, part, f"{folder}/extracts/{name}-{i}", lambda k: EXTRACT_PATTERNS[name].replace("*", f"{i}_{k}"))
+    for name in SEEDS:
+        rows = getattr(sample, name)
+        rows.coalesce(1).write.csv(f"{folder}/parts/{name}", header=True)
+        move_files(spark, f"{folder}/parts/{name}", f"{folder}/seeds", lambda k: f"{name}.csv")
+
+
+def load_files(spark: SparkSession, path: str) -> DataFrame:
+    """The customer mart, from extract and seed files to marts in one run."""
+    root = Scratch(spark).root
+    write_sample_extracts(spark, path, root)
+    loaded = load(spark, f"{root}/extracts", f"{root}/seeds", f"{root}/tables", LOADED_AT, CFG)
+    return portable(loaded.pipeline.customer_mart)
+
+
 def _document_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of the documents as bytes: odd documents in Latin-1 where their characters allow it."""
     docs = spark.read.parquet(f"{path}/documents.parquet")
@@ -201,6 +228,7 @@ QUERIES: dict[str, Query] = {
     # sources
     "ingest_extract": ingest_extract,
     "load_summary": load_summary,
+    "load_files": load_files,
     "decode_mixed": decode_mixed,
     "encoding_profile": encoding_profile,
     "clean_text": clean_text_query,

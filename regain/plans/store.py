@@ -7,6 +7,7 @@ import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -40,6 +41,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(make(path), True)
 
 
+def move_files(spark: SparkSession, source: str, target: str, name: Callable[[int], str]) -> None:
+    """Move the part files of a written folder, giving each a name by its place in the listing."""
+    files, make = _file_system(spark, source)
+    files.mkdirs(make(target))
+    parts = sorted(f.getPath().toString() for f in files.listStatus(make(source)) if f.getPath().getName().startswith("part-"))
+    for k, part in enumerate(parts):
+        if not files.rename(make(part), make(f"{target}/{name(k)}")):
+            raise OSError(f"cannot move {part} to {target}")
+
+
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Replace the table at ``path`` and return it read back.
 
