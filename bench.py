@@ -1,7 +1,8 @@
 """Time the headline queries and print one JSON line.
 
 Two queries warm the session up; then each query runs ``BENCH_RUNS`` times and the median counts. ``full_build`` writes every
-staging, intermediate and mart table; the drill-downs after it read those tables, as the page would.
+staging, intermediate and mart table; the drill-downs after it read those tables, as the page would. Beside them stands the time DuckDB takes for the
+same results on as many threads (``duckdb``, ``BENCH_DUCKDB_RUNS`` runs each after a warm one; 0 leaves it out).
 """
 
 from __future__ import annotations
@@ -20,6 +21,28 @@ HEADLINE = (
 )
 OVER_TABLES = ("ranked_list", "monthly_profit", "recent_invoices", "top_brand_drops", "dq_tie_out", "dq_not_null")
 RUNS = int(os.environ.get("BENCH_RUNS", "1"))
+DUCKDB_RUNS = int(os.environ.get("BENCH_DUCKDB_RUNS", "1"))
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents")
+
+
+def duckdb_times(folder: str, names: tuple[str, ...], threads: int) -> dict[str, float]:
+    import duckdb
+
+    from oracle.queries import ORACLE
+
+    con = duckdb.connect(config={"threads": threads})
+    for table in TABLES:
+        con.execute(f"create view {table} as select * from read_parquet('{folder}/{table}.parquet')")
+    times = {}
+    for name in names:
+        con.execute(ORACLE[name]).to_arrow_table()
+        runs = []
+        for _ in range(DUCKDB_RUNS):
+            start = time.perf_counter()
+            con.execute(ORACLE[name]).to_arrow_table()
+            runs.append(time.perf_counter() - start)
+        times[name] = round(statistics.median(runs), 3)
+    return times
 
 
 def main() -> None:
@@ -51,6 +74,7 @@ def main() -> None:
         "metric": "headline query time", "value": total, "unit": "sec", "queries": times,
         "sf": os.path.basename(folder.rstrip("/")), "line_rows": lines,
         "rows_per_sec": {name: round(lines / t) for name, t in times.items() if t > 0},
+        "duckdb": duckdb_times(folder, HEADLINE, int(os.environ.get("BENCH_CPUS", "8"))) if DUCKDB_RUNS else {},
     }))
 
 
