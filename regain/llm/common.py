@@ -95,12 +95,17 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
-    """Distinct hashes, ascending, of the runs of ``size`` words; fewer words count as one run."""
+def shingle_runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the runs of ``size`` words, in text order; fewer words count as one run."""
     if not len(words):
         return words
     k = min(size, len(words))
     h = np.full(len(words) - k + 1, k, dtype=np.uint64)
     for i in range(k):
         h = mix64(h + words[i : len(words) - k + 1 + i])
-    return np.unique(h)
+    return h
+
+
+def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """The distinct hashes of ``shingle_runs``, ascending."""
+    return np.unique(shingle_runs(words, size))

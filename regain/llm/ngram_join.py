@@ -1,13 +1,14 @@
 """Exact Jaccard self-join on word n-grams: the document by n-gram matrix times its transpose, in blocks.
 
-Columns are put in one global order, rare n-grams by hash first and very common ones last. Two sets that
+Columns are put in one global order, rare n-grams by hash first and common ones last. Two sets that
 are similar enough must meet in the first few columns of both (the block whose size the set size gives),
 so only that block is multiplied. Overlap counts of the block are added up per pair, and a pair goes where
 the count, even with everything outside the block, cannot reach the bound its sizes give. What is left is
 counted on the whole sets.
 
-Columns that very many documents share (groups of near copies) are not multiplied out: everyone is
-compared with one central document, then only documents that are still in different components.
+Columns that very many documents share even so belong to groups of near copies. Such a column's members are
+first compared with one central document, round by round, until few pairs lie in different components. Of
+those pairs only the ones are made whose places in the column leave room for enough shared n-grams.
 """
 
 from __future__ import annotations
@@ -19,16 +20,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regain.llm.common import WordHashes, Workspace, shingle_hashes, table
+from regain.llm.common import WordHashes, Workspace, shingle_hashes, shingle_runs, table
 from regain.llm.components import components
 
 SHINGLE = 5
 SIMILAR_PCT = 80
-# columns with more documents than this are compared with one central document instead of pair by pair
+# columns with more documents than this are not multiplied out: few of their pairs are made
 LONG_COLUMN = 32
-# n-grams put last: those in at least so many documents; the bound doubles until their number fits. Any choice of
+# pairs of long columns, for each entry of the block: so few are left at once to the product, and so many only if a
+# round of comparing with central documents hardly brings them down (they are looked at there, but few are made)
+FEW_PAIRS, MOST_PAIRS = 1, 256
+# n-grams put last: those that open so many blocks; the bound doubles until their number fits. Any choice of
 # n-grams put last gives the same result, so this changes the work only.
-COMMON, MAX_COMMON = 32, 1 << 17
+COMMON, MAX_COMMON = 8, 1 << 17
+NEAR = 32  # n-grams on either side
 # ids are sent to every executor up to so many (8 bytes each), and joined by a shuffle beyond it
 MAX_BROADCAST_IDS = 1_000_000
 
@@ -58,28 +63,60 @@ def _arrays(rows: list[np.ndarray]) -> pa.Array:
 
 
 def common_ngrams(texts: DataFrame, work: Workspace) -> np.ndarray:
-    """Hashes of n-grams that open many blocks, at most ``MAX_COMMON`` of them."""
+    """Hashes of n-grams that many documents share, at most ``MAX_COMMON`` of them, ascending.
+
+    First those that open many blocks; then, since what many documents share is passages, those that are often
+    found near them, wherever their hash puts them.
+    """
 
     def opening(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             blocks = [s[: block_size(len(s))] if len(s) else s for s in _sets(batch, hashes)]
-            yield pa.RecordBatch.from_arrays([_arrays(blocks)], ["block"])
+            yield pa.RecordBatch.from_arrays([_arrays(blocks)], ["grams"])
 
-    counts = texts.mapInArrow(opening, "block array<long>").select(F.explode("block").alias("h")).groupBy("h").count()
+    first = _many(texts, opening, MAX_COMMON // 4, work)
+
+    def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            found = []
+            for raw in batch.column(1).cast(pa.binary()).to_pylist():
+                runs = shingle_runs(hashes.of(raw.lower().split()), SHINGLE)
+                marks = np.zeros(len(runs) + 1, dtype=np.int64)
+                at = np.flatnonzero(_member(first, runs))
+                np.add.at(marks, np.maximum(at - NEAR, 0), 1)
+                np.add.at(marks, np.minimum(at + NEAR + 1, len(runs)), -1)
+                found.append(np.unique(runs[np.cumsum(marks[:-1]) > 0]))
+            yield pa.RecordBatch.from_arrays([_arrays(found)], ["grams"])
+
+    return np.union1d(first, _many(texts, beside, MAX_COMMON - len(first), work)) if len(first) else first
+
+
+def _member(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    if not len(sorted_values):
+        return np.zeros(len(values), dtype=bool)
+    at = np.searchsorted(sorted_values, values)
+    at[at == len(sorted_values)] = 0
+    return sorted_values[at] == values
+
+
+def _many(texts: DataFrame, grams, limit: int, work: Workspace) -> np.ndarray:
+    """The n-grams that ``grams`` gives for at least ``COMMON`` documents; the bound doubles until ``limit`` is kept."""
+    counts = texts.mapInArrow(grams, "grams array<long>").select(F.explode("grams").alias("h")).groupBy("h").count()
     many = work.keep(counts.filter(F.col("count") >= COMMON))
-    steps = many.groupBy(F.floor(F.log2(F.col("count") / COMMON)).alias("step")).count().collect()  # 60 rows at most
-    step = 0
-    while sum(r["count"] for r in steps if r["step"] >= step) > MAX_COMMON:
-        step += 1
-    found = many.filter(F.floor(F.log2(F.col("count") / COMMON)) >= step).select("h").toArrow()
+    step = F.floor(F.log2(F.col("count") / COMMON))
+    steps = many.groupBy(step.alias("step")).count().collect()  # 60 rows at most
+    least = 0
+    while sum(r["count"] for r in steps if r["step"] >= least) > limit:
+        least += 1
+    found = many.filter(step >= least).select("h").toArrow()
     work.drop(many)
-    return np.sort(found.column("h").to_numpy()).view(np.uint64)
+    return np.sort(found.column("h").to_numpy().view(np.uint64))
 
 
 def block_sets(texts: DataFrame, common: np.ndarray) -> DataFrame:
     """``id, n, s1, s2, block``: set size, 128-bit signature of the set, and its first columns."""
-    last = np.sort(common)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -90,11 +127,8 @@ def block_sets(texts: DataFrame, common: np.ndarray) -> DataFrame:
             for s in _sets(batch, hashes):
                 sizes.append(len(s))
                 marks.append(xxhash.xxh3_128_digest(s.tobytes()))
-                if len(s) and len(last):
-                    at = np.searchsorted(last, s)
-                    at[at == len(last)] = 0
-                    is_common = last[at] == s
-                    s = np.concatenate([s[~is_common], s[is_common]])
+                last = _member(common, s)
+                s = np.concatenate([s[~last], s[last]])
                 blocks.append(s[: block_size(len(s))] if len(s) else s)
             halves = np.frombuffer(b"".join(marks), dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
@@ -121,6 +155,11 @@ def similar_sizes(n: str, m: str) -> Column:
     return (F.least(n, m) * 100 >= F.greatest(n, m) * SIMILAR_PCT) & (F.col(n) > 0)
 
 
+def enough_shared(shared: Column, n: Column, m: Column) -> Column:
+    """Whether sets of ``n`` and ``m`` that share so many are similar: ``shared >= pct * (n + m - shared)``."""
+    return shared * (100 + SIMILAR_PCT) >= (n + m) * SIMILAR_PCT
+
+
 def verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar enough."""
     left = grams.select(F.col("id").alias("a"), F.col("grams").alias("ga"))
@@ -146,76 +185,94 @@ def links(sets: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
 
     ``sets`` has one row per distinct set: ``id, n, block``.
     """
-    spots = sets.select("id", "n", F.explode("block").alias("h"))
-    columns = spots.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    spots = work.keep(spots.join(columns, "h"))
-    short, long = spots.filter(F.col("df") <= LONG_COLUMN), spots.filter(F.col("df") > LONG_COLUMN)
-    in_long = work.keep(long.groupBy("id").agg(F.count("*").alias("in_long")))
-
-    # the product of the block over short columns, then the bound
-    a = short.select("h", F.col("id").alias("a"), F.col("n").alias("na"))
-    b = short.select("h", F.col("id").alias("b"), F.col("n").alias("nb"))
-    overlaps = a.join(b, "h").filter((F.col("a") < F.col("b")) & similar_sizes("na", "nb"))
-    overlaps = overlaps.groupBy("a", "b", "na", "nb").agg(F.count("*").alias("overlap"))
-    for side in ("a", "b"):
-        more = in_long.select(F.col("id").alias(side), F.col("in_long").alias(f"long_{side}"))
-        overlaps = overlaps.join(more, side, "left")
-    outside = F.ceil(F.greatest("na", "nb") * SIMILAR_PCT / 100) - 1  # columns after the block
-    most = F.col("overlap") + F.coalesce(F.least("long_a", "long_b"), F.lit(0)) + outside
-    # shared >= pct * (na + nb - shared)
-    possible = most * (100 + SIMILAR_PCT) >= (F.col("na") + F.col("nb")) * SIMILAR_PCT
-    likely = work.keep(overlaps.filter(possible).select("a", "b", (F.col("overlap") / F.least("na", "nb")).alias("share")))
-
-    ids = likely.select(F.col("a").alias("id")).union(likely.select("b")).union(long.select("id")).distinct()
-    ids = work.keep(ids)
-    grams = work.keep(whole_sets(texts, ids))
+    entries = sets.select("id", "n", F.posexplode("block").alias("place", "h"))
+    columns = entries.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    entries = work.keep(entries.join(columns, "h"))
+    long = entries.filter(F.col("df") > LONG_COLUMN)
+    in_long = work.keep(long.groupBy("id").agg(F.count("*").alias("long")))
+    rest, found = _central_links(long.drop("df"), in_long, entries.count(), texts, work)
+    labels = components(found, work)
+
+    # the product of the block over short columns, for pairs in different components, and the bound
+    here = _labelled(entries.filter(F.col("df") <= LONG_COLUMN), "id", labels, "c").join(in_long, "id", "left")
+    a = here.select("h", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "c", "long")])
+    b = here.select("h", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "c", "long")])
+    apart = (F.col("id_a") < F.col("id_b")) & (F.col("c_a") != F.col("c_b")) & similar_sizes("n_a", "n_b")
+    key = ["id_a", "id_b", "n_a", "n_b", "long_a", "long_b"]
+    overlaps = a.join(b, "h").filter(apart).groupBy(*key).agg(F.count("*").alias("overlap"))
+    outside = F.ceil(F.greatest("n_a", "n_b") * SIMILAR_PCT / 100) - 1  # columns after the block
+    in_both = F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0)))
+    possible = enough_shared(F.col("overlap") + in_both + outside, F.col("n_a"), F.col("n_b"))
+    likely = overlaps.filter(possible).select(
+        F.col("id_a").alias("a"), F.col("id_b").alias("b"), (F.col("overlap") / F.least("n_a", "n_b")).alias("share")
+    )
+    likely = likely.union(_long_pairs(rest, labels).select("a", "b", F.lit(0.0)))
+    likely = work.keep(likely.groupBy("a", "b").agg(F.max("share").alias("share")))
+    grams = _grams_of(likely, texts, work)
 
     # each document's likeliest partner first, then pairs that are still apart
-    partner = F.max_by("b", F.struct("share", "b"))
-    first = likely.groupBy("a").agg(partner.alias("b")).union(
+    first = likely.groupBy("a").agg(F.max_by("b", F.struct("share", "b")).alias("b")).union(
         likely.groupBy("b").agg(F.max_by("a", F.struct("share", "a")).alias("a")).select("a", "b")
     )
-    found = work.keep(verified(first.distinct(), grams))
-    labels = components(found, work)
-    rest = likely.join(first.distinct(), ["a", "b"], "left_anti")
-    found = work.keep(found.union(verified(_apart(rest, labels), grams)))
-    return _long_columns(long, in_long, grams, found, work)
-
-
-def _long_columns(long: DataFrame, in_long: DataFrame, grams: DataFrame, found: DataFrame, work: Workspace) -> DataFrame:
-    """Adds the links of long columns. Every round compares each column's members with one member of it and drops
-    that one; when few pairs lie apart, the rest are compared outright. Ends when every pair of a column is in one
-    component or has been compared."""
-    rest = work.keep(long.join(in_long, "id").select("h", "id", "n", "in_long"))
-    rows, first_round = rest.count(), True
-    while rows:
-        labels = components(found, work)
-        here = _labelled(rest, "id", labels, "c")
-        per_component = here.groupBy("h", "c").agg(F.count("*").alias("k"))
-        open_columns = per_component.groupBy("h").agg(
-            ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("apart")
-        ).filter("apart > 0")
-        here = work.keep(here.join(open_columns, "h").join(per_component, ["h", "c"]))
-        apart = here.select("h", "apart").distinct().agg(F.sum("apart")).first()[0] or 0
-        if not apart:
-            return found
+    first = work.keep(first.distinct())
+    found = work.keep(found.union(verified(first, grams)))
+    rest = likely.join(first, ["a", "b"], "left_anti")
+    return work.keep(found.union(verified(_apart(rest, components(found, work)), grams)))
+
+
+def _grams_of(pairs: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
+    ids = work.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    return work.keep(whole_sets(texts, ids))
+
+
+def _central_links(
+    rest: DataFrame, in_long: DataFrame, entries: int, texts: DataFrame, work: Workspace
+) -> tuple[DataFrame, DataFrame]:
+    """Links found by comparing the members of long columns with one member each, a round at a time, until few pairs
+    of long columns lie in different components; and the members not yet compared with all others."""
+    rest = work.keep(rest)
+    before = float("inf")
+    found = work.keep(rest.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0))
+    while True:
+        here = work.keep(_labelled(rest, "id", components(found, work), "c"))
+        sizes = here.groupBy("h", "c").agg(F.count("*").alias("k"))
+        apart = sizes.groupBy("h").agg(((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("apart"))
+        apart = work.keep(apart.filter("apart > 0"))
+        rest = here.join(apart, "h", "left_semi").select(*rest.columns)
+        left = apart.agg(F.sum("apart")).first()[0] or 0
+        if left <= FEW_PAIRS * entries or (left <= MOST_PAIRS * entries and left > 0.8 * before):
+            return rest, found
+        before = left
+        # of the members of the smallest component the one that shares most with others
+        members = here.join(apart, "h", "left_semi").join(sizes, ["h", "c"]).join(in_long, "id")
+        central = F.min_by(F.struct("id", "n", "c"), F.struct("k", -F.col("long"), "id")).alias("m")
+        central = work.keep(members.groupBy("h").agg(central).select(
+            "h", F.col("m.id").alias("b"), F.col("m.n").alias("nb"), F.col("m.c").alias("cb")
+        ))
         one = here.select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
-        if apart <= 4 * rows:
-            two = here.select("h", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
-            pairs = one.join(two, "h").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")))
-            pairs = pairs.filter(similar_sizes("na", "nb")).select("a", "b").distinct()
-            return work.keep(found.union(verified(pairs, grams)))
-        # at first the member with most columns shared by many, later one of the smallest component
-        size = F.lit(0) if first_round else F.col("k")
-        first = F.min_by(F.struct("id", "n", "c"), F.struct(size, -F.col("in_long"), "id")).alias("m")
-        middle = here.groupBy("h").agg(first).select("h", F.col("m.id").alias("b"), F.col("m.n").alias("nb"), F.col("m.c").alias("cb"))
-        pairs = one.join(middle, "h").filter((F.col("ca") != F.col("cb")) & similar_sizes("na", "nb")).select("a", "b")
-        found = work.keep(found.union(verified(pairs.distinct(), grams)))
-        rest = work.keep(
-            here.select("h", "id", "n", "in_long").join(middle.select("h", F.col("b").alias("id")), ["h", "id"], "left_anti")
-        )
-        first_round = False
-    return found
+        pairs = one.join(central, "h").filter((F.col("ca") != F.col("cb")) & similar_sizes("na", "nb"))
+        pairs = work.keep(pairs.select("a", "b").distinct())
+        found = work.keep(found.union(verified(pairs, _grams_of(pairs, texts, work))))
+        rest = work.keep(rest.join(central.select("h", F.col("b").alias("id")), ["h", "id"], "left_anti").select(*rest.columns))
+
+
+def _long_pairs(rest: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of long columns that may link and lie in different components.
+
+    The first column two sets share has none they share before it, so what they can share is what follows it in the
+    smaller rest. Members of a column's largest component are not paired with each other.
+    """
+    here = _labelled(rest, "id", labels, "c")
+    largest = here.groupBy("h", "c").agg(F.count("*").alias("k")).groupBy("h").agg(F.max_by("c", F.struct("k", "c")).alias("main"))
+    here = here.join(largest, "h").withColumn("outer", F.col("c") != F.col("main"))
+    a = here.filter("outer").select("h", *[F.col(c).alias(f"{c}_a") for c in ("id", "n", "place", "c")])
+    b = here.select("h", "outer", *[F.col(c).alias(f"{c}_b") for c in ("id", "n", "place", "c")])
+    room = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    once = ~F.col("outer") | (F.col("id_a") < F.col("id_b"))
+    pairs = a.join(b, "h").filter(
+        (F.col("c_a") != F.col("c_b")) & once & similar_sizes("n_a", "n_b") & enough_shared(room, F.col("n_a"), F.col("n_b"))
+    )
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def similar_documents(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from regain.llm import ngram_join
 from regain.llm.components import components
@@ -68,10 +69,13 @@ def test_against_brute_force(docs_of, work):
     assert run(docs_of(rows), work) == brute(rows)
 
 
-def test_long_columns_and_common_ngrams(docs_of, work, monkeypatch):
+@pytest.mark.parametrize("most", [0.2, 256])
+def test_long_columns_and_common_ngrams(docs_of, work, monkeypatch, most):
     """The ways for very common n-grams and large groups, forced on a small table, lose no link."""
     monkeypatch.setattr(ngram_join, "LONG_COLUMN", 3)
-    monkeypatch.setattr(ngram_join, "COMMON", 4)
+    monkeypatch.setattr(ngram_join, "FEW_PAIRS", 0.1)
+    monkeypatch.setattr(ngram_join, "MOST_PAIRS", most)
+    monkeypatch.setattr(ngram_join, "COMMON", 3)
     rows = corpus(2, groups=4, copies=25)
     assert run(docs_of(rows), work) == brute(rows)
 
