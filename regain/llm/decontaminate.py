@@ -73,10 +73,7 @@ def leaks(docs: DataFrame, items: DataFrame, work: Workspace, key: str = "doc_id
     known = items.select("item_id", trimmed_words(F.lower("text"), BETWEEN_WORDS).alias("words")).filter(F.size("words") > 0)
     known = known.withColumn("n_words", F.size("words")).withColumn("k", F.least(F.lit(SHINGLE), F.col("n_words")))
     sizes = [r["k"] for r in known.select("k").distinct().orderBy("k").collect()]  # five values at most
-    texts = docs.select(
-        F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("row"),
-        trimmed_words(F.lower(F.col(text)), BETWEEN_WORDS).alias("words"),
-    )
+    texts = docs.select(F.col(key).alias("doc"), F.xxhash64(F.col(text)).alias("row"), F.col(text).alias("text"))
     found = None
     for k in sizes:
         part = _leaks_of_size(texts, with_shingles(known.filter(F.col("k") == k), "words", "shingles", k), k, work)
@@ -91,6 +88,10 @@ def leaks(docs: DataFrame, items: DataFrame, work: Workspace, key: str = "doc_id
     )
 
 
+def _shingled(texts: DataFrame, k: int) -> DataFrame:
+    return with_shingles(texts.withColumn("words", trimmed_words(F.lower("text"), BETWEEN_WORDS)), "words", "shingles", k)
+
+
 def _leaks_of_size(texts: DataFrame, known: DataFrame, k: int, work: Workspace) -> DataFrame:
     known = work.keep(with_simhash(known.drop("words"), "shingles"))
     places = known.select("n_words", F.posexplode("shingles").alias("item_pos", "h"))
@@ -98,19 +99,17 @@ def _leaks_of_size(texts: DataFrame, known: DataFrame, k: int, work: Workspace)
     wanted = work.keep(places.select(F.col("h").alias("wanted")).distinct())
     if wanted.count() <= MAX_BROADCAST_SHINGLES:
         wanted = F.broadcast(wanted)
-    shingled = with_shingles(texts, "words", "shingles", k).withColumn("doc_words", F.size("words"))
     # "outer", or else a filter on the array's size would be pushed below and work the hashes out again
-    spots = shingled.select("doc", "row", "doc_words", F.posexplode_outer("shingles").alias("pos", "h"))
+    spots = _shingled(texts, k).select("doc", "row", F.size("words").alias("doc_words"), F.posexplode_outer("shingles").alias("pos", "h"))
     hits = spots.join(wanted, F.col("h") == F.col("wanted"), "left_semi").join(places, "h")
     # where the shared shingle puts the item's first word, moved inside the document
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("item_pos"), F.col("doc_words") - F.col("n_words")))
     windows = work.keep(hits.select("doc", "row", "n_words", start.alias("start")).distinct())
     per_doc = windows.groupBy("doc", "row").agg(F.collect_set(F.struct("n_words", "start")).alias("windows"))
     per_doc = work.keep(per_doc).select(F.col("doc").alias("d"), F.col("row").alias("r"), "windows")
-    here = shingled.select("doc", "row", "shingles").join(
-        per_doc, F.col("doc").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r"))
-    )
-    cut = here.select("doc", "shingles", F.explode("windows").alias("w")).select(
+    # joined before the shingles are worked out again, which few documents need
+    here = texts.join(per_doc, F.col("doc").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
+    cut = _shingled(here, k).select("doc", "shingles", F.explode("windows").alias("w")).select(
         "doc", "w.n_words", "w.start",
         F.slice("shingles", F.col("w.start") + 1, F.greatest(F.lit(1), F.col("w.n_words") - (k - 1))).alias("shingles"),
     )
