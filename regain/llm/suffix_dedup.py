@@ -22,14 +22,12 @@ from regain.llm.suffix_array import permuted_common_prefixes, suffix_array
 from regain.operators.ranking import row_numbers
 
 LENGTH = 100
-GRAM = 32  # bytes of an anchor
+GRAM = 48  # bytes of an anchor: long enough that few repeat by chance
 WINDOW = LENGTH - GRAM + 1  # anchors a string can choose from
 BLOCK_BYTES = 1 << 18
 # an anchor with more different segments than this is settled by digests of its strings instead of a suffix array
-HOT_SEGMENTS = 4096
+HOT_SEGMENTS = 512
 SHARD_BYTES = 1 << 21
-# positions are sent to every executor up to so many (8 bytes each), and joined by a shuffle beyond it
-MAX_BROADCAST_POSITIONS = 4_000_000
 
 _BASE = 0x9E3779B97F4A7C15
 
@@ -158,11 +156,6 @@ def repeated_places(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(places, "h long, _ord long, start long").join(again, "h", "left_semi").select("_ord", "start")
 
 
-def beside(texts: DataFrame, lists: DataFrame, positions: int, how: str = "inner") -> DataFrame:
-    """Joins each text with its list; small lists go to the texts, large ones meet them in a shuffle."""
-    return texts.join(F.broadcast(lists) if positions <= MAX_BROADCAST_POSITIONS else lists, "_ord", how)
-
-
 def cut_segments(listed: DataFrame) -> DataFrame:
     """``h, digest, _ord, start, strings, bytes``: the segments whose anchors are repeated."""
 
@@ -288,7 +281,7 @@ def removed_spans(texts: DataFrame, work: Workspace) -> DataFrame:
     """``_ord, begin, end``: spans (they may overlap) of bytes covered by a string that begins earlier, too."""
     places = work.keep(repeated_places(texts))
     lists = work.keep(places.groupBy("_ord").agg(F.collect_list("start").alias("starts")))
-    found = work.keep(cut_segments(beside(texts, lists, places.count())))
+    found = work.keep(cut_segments(texts.join(lists, "_ord")))
     work.drop(places, lists)
     narrow = found.drop("bytes")
     earliest = F.min(F.struct("_ord", "start"))
@@ -333,7 +326,7 @@ def cut_out(text: bytes, runs: list[tuple[int, int]]) -> bytes:
 def with_spans(texts: DataFrame, spans: DataFrame, work: Workspace) -> DataFrame:
     """The rows of ``texts`` with ``_spans``, an array of (begin, end), NULL where nothing is removed."""
     lists = work.keep(spans.groupBy("_ord").agg(F.collect_list(F.struct("begin", "end")).alias("_spans")))
-    return beside(texts, lists, 2 * spans.count(), "left")
+    return texts.join(lists, "_ord", "left")
 
 
 def removals(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str = "text") -> DataFrame:

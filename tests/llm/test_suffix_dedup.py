@@ -72,10 +72,9 @@ def test_against_brute_force(docs_of, work):
 
 
 def test_hot_anchors_and_blocks(docs_of, work, monkeypatch):
-    """The ways for hot anchors, long texts and large lists, forced on a small table."""
+    """The ways for hot anchors, long texts and many shards, forced on a small table."""
     monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 3)
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", 400)
-    monkeypatch.setattr(suffix_dedup, "MAX_BROADCAST_POSITIONS", 0)
     monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 500)
     rows = corpus(2)
     assert run(docs_of(rows), work) == brute(rows)
