@@ -26,9 +26,8 @@ RULES = (
 )
 ALLOW, BLOCK = "allow", "block"
 
-# symbols of a URL; 0 stands before it, 1 after it, 2 for every other character. All digits are one symbol: with it
-# the counts of the highest order are 2.3 million numbers per model, whatever the corpus.
-SYMBOLS = "abcdefghijklmnopqrstuvwxyz0./-_%:@~+"
+# symbols of a URL; 0 stands before it, 1 after it, 2 for every other character
+SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789./-_%:@~+=&"
 SIZE = len(SYMBOLS) + 3
 ORDER = 3
 FOLDS = 5
@@ -37,7 +36,6 @@ BINS, BIN_RANGE = 512, 4.0
 _CODES = np.full(256, 2, dtype=np.int64)
 for _i, _c in enumerate(SYMBOLS):
     _CODES[ord(_c)] = _i + 3
-_CODES[ord("0") : ord("9") + 1] = _CODES[ord("0")]
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -79,27 +77,41 @@ def grams(texts: list[str], order: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Counts of every order, flat arrays of ``SIZE ** (order + 1)``: a size that does not depend on the corpus."""
+    """Counts of every order: the codes that were seen, ascending, with their counts. A flat array of the counts of all
+    ``SIZE ** (order + 1)`` codes is taken too."""
 
-    counts: list[np.ndarray]
+    counts: list[np.ndarray | tuple[np.ndarray, np.ndarray]]
 
-    def tables(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def tables(self) -> list[tuple[np.ndarray, ...]]:
+        """Of every order the codes with their counts, and the contexts with their totals and kinds of symbols."""
         out = []
-        for flat in self.counts:
-            rows = flat.reshape(-1, SIZE)
-            out.append((flat, rows.sum(axis=1), (rows > 0).sum(axis=1)))
+        for counts in self.counts:
+            codes, times = counts if isinstance(counts, tuple) else (np.flatnonzero(counts), counts[counts > 0])
+            contexts, first, kinds = np.unique(codes // SIZE, return_index=True, return_counts=True)
+            totals = np.add.reduceat(times, first) if len(first) else times
+            out.append((codes, times, contexts, totals, kinds))
         return out
 
 
+def _counted(keys: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """The values of some keys, which are ascending; 0 for a key that is missing."""
+    if not len(keys):
+        return [np.zeros(len(wanted), dtype=np.int64) for _ in values]
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    known = keys[at] == wanted
+    return [np.where(known, v[at], 0) for v in values]
+
+
 def log_likelihood(s: np.ndarray, tables: list) -> np.ndarray:
     """Natural log probability of each symbol after the begin marks, orders blended from the lowest up."""
     p = np.full(len(s) - ORDER, 1.0 / SIZE)
-    for order, (flat, totals, kinds) in enumerate(tables):
+    for order, (codes, times, contexts, totals, kinds) in enumerate(tables):
         context = np.zeros(len(s) - ORDER, dtype=np.int64)
         for back in range(order, 0, -1):
             context = context * SIZE + s[ORDER - back : len(s) - back]
-        seen, various = totals[context], kinds[context]
-        p = np.where(seen > 0, (flat[context * SIZE + s[ORDER:]] + various * p) / np.maximum(seen + various, 1), p)
+        seen, various = _counted(contexts, context, totals, kinds)
+        (here,) = _counted(codes, context * SIZE + s[ORDER:], times)
+        p = np.where(seen > 0, (here + various * p) / np.maximum(seen + various, 1), p)
     return np.log(p)
 
 
@@ -116,7 +128,7 @@ def fold_of(text: str) -> int:
 def count_grams(ruled: DataFrame) -> tuple[Model, Model, Model, Model]:
     """Counts over all URLs with a rule: accepted and rejected, without the left-out fold, then with it.
 
-    Tasks send the grams they saw with their counts; the sums have at most ``SIZE ** (ORDER + 1)`` rows per class.
+    Tasks send the grams they saw with their counts, and only grams that were seen are kept.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,11 +151,12 @@ def count_grams(ruled: DataFrame) -> tuple[Model, Model, Model, Model]:
     good, left_out, order, code, times = (rows.column(i).to_numpy() for i in range(5))
 
     def model(which: int, folds: tuple[int, ...]) -> Model:
-        flats = []
+        seen = []
         for k in range(ORDER + 1):
             use = (good == which) & np.isin(left_out, folds) & (order == k)
-            flats.append(np.bincount(code[use], weights=times[use], minlength=SIZE ** (k + 1)).astype(np.float32))
-        return Model(flats)
+            codes, at = np.unique(code[use], return_inverse=True)
+            seen.append((codes, np.bincount(at, weights=times[use], minlength=len(codes)).astype(np.int64)))
+        return Model(seen)
 
     return model(1, (0,)), model(0, (0,)), model(1, (0, 1)), model(0, (0, 1))
 
@@ -192,7 +205,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, key:
     split = split.withColumns({"rule": rule, "verdict": verdict, "address": F.concat("host", "path")})
     ruled = split.filter(F.col("verdict").isNotNull())
     some_good, some_bad, good, bad = count_grams(ruled)
-    both = bool(good.counts[0].sum() and bad.counts[0].sum())
+    both = bool(len(good.counts[0][0]) and len(bad.counts[0][0]))
     cut = calibrated_cut(ruled, some_good, some_bad) if both else 0.0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -74,3 +74,22 @@ def test_gram_codes():
     codes = url_filter.grams(["ab"], 1)
     a, b = url_filter.SYMBOLS.index("a") + 3, url_filter.SYMBOLS.index("b") + 3
     assert codes.tolist() == [a, a * url_filter.SIZE + b, b * url_filter.SIZE + 1]
+
+
+def test_digits_tell_urls_apart(pages):
+    """The rule example.org/en/1 against the rest of example.org: only a digit differs."""
+    bad = [f"http://site{i % 7}.example.org/en/1{i:03d}" for i in range(300)]
+    good = [f"http://site{i % 7}.example.org/en/{2 + i % 8}{i:03d}" for i in range(300)]
+    asked = [f"http://site3.example.net/en/{d}{i:03d}" for d in range(1, 10) for i in range(20)]
+    said = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages(good + bad + asked)).collect()}
+    assert [said[600 + i] for i in range(180)] == ["block"] * 20 + ["allow"] * 160
+
+
+def test_each_digit_is_a_symbol():
+    assert len(set(url_filter.symbols("0123456789=&").tolist()) - {0, 1, 2}) == 12
+
+
+def test_only_seen_grams_are_kept(pages):
+    model = url_filter.count_grams(pages(["http://a.org/1"] * 2).selectExpr("'a.org/1' AS address", "'allow' AS verdict"))[2]
+    for order, (codes, times) in enumerate(model.counts):
+        assert codes.tolist() == sorted(set(url_filter.grams(["a.org/1"], order).tolist())) and times.sum() == 16
