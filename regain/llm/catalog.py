@@ -5,7 +5,7 @@ from __future__ import annotations
 from regain.llm.decontaminate import op7_decontaminate
 from regain.llm.fingerprints import op9_fingerprints
 from regain.llm.mixing import OP4_SQL, op4_mix_sources
-from regain.llm.ngram_join import OP3_SQL, op3_ngram_join
+from regain.llm.ngram_join import OP3_SQL, op3_ngram_join, op3_ngram_links
 from regain.llm.quality import op10_quality
 from regain.llm.suffix_dedup import OP8_SQL, op8_suffix_dedup
 from regain.llm.tokens import op1_token_counts
@@ -17,6 +17,7 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
+    "op3_ngram_links": op3_ngram_links,
     "op4_mix_sources": op4_mix_sources,
     "op5_warc": op5_warc,
     "op6_url_filter": op6_url_filter,

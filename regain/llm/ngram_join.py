@@ -9,6 +9,9 @@ counted on the whole sets.
 Columns that very many documents share even so belong to groups of near copies. Such a column's members are
 first compared with one central document, round by round, until few pairs lie in different components. Of
 those pairs only the ones are made whose places in the column leave room for enough shared n-grams.
+
+All links of a document are counted afterwards: they lie inside its component, whose whole sets are multiplied
+chunk by chunk.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +40,9 @@ COMMON, MAX_COMMON = 8, 1 << 17
 NEAR = 32  # n-grams on either side
 # ids are sent to every executor up to so many (8 bytes each), and joined by a shuffle beyond it
 MAX_BROADCAST_IDS = 1_000_000
+# a component is cut into chunks of about so many sets and so many n-grams, each multiplied with each
+LINK_CHUNK, CHUNK_GRAMS = 512, 1 << 20
+CELLS = 1 << 23  # of the matrix that is multiplied at once
 
 
 def block_size(n: int) -> int:
@@ -275,15 +282,97 @@ def _long_pairs(rest: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
-def similar_documents(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: ``key, n_shingles, component_id``.
-
-    Two documents link when at least 80 % of their joint distinct five-word shingles are shared; the component
-    id is the smallest id that links lead to. A text of fewer than five words is one shingle; NULL, empty
-    and blank texts have none and link with nothing. Equal sets are compared once. Rows with one id are one
-    document: what links to any of them joins them all. Rows with a NULL id link with nothing and have a
-    NULL component. Other columns are not read; an empty table gives an empty table.
+def _overlaps(sets: list[np.ndarray], left: int, cross: bool) -> np.ndarray:
+    """How many n-grams each of the first ``left`` sets shares with each other one (``cross``) or among themselves."""
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    number, several = np.cumsum(df > 1) - 1, df[at] > 1
+    row, at = row[several], number[at[several]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    columns = int((df > 1).sum())
+    width = max(1, min(columns, CELLS // len(sets)))
+    out = np.zeros((left, len(sets) - left if cross else left), dtype=np.int64)
+    for begin in range(0, columns, width):
+        here = slice(*np.searchsorted(at, [begin, begin + width]))
+        cells = np.zeros((len(sets), width), dtype=np.float32)
+        cells[row[here], at[here] - begin] = 1
+        out += (cells[:left] @ (cells[left:] if cross else cells).T).astype(np.int64)
+    return out
+
+
+def _links_of_chunks(key: tuple, group: pa.Table) -> pa.Table:
+    """``s1, s2, links``: rows each set of two chunks links with in the other chunk, or in one chunk with itself."""
+    cross = key[1].as_py() != key[2].as_py()
+    kind = group.column("component").combine_chunks().dictionary_encode().indices.to_numpy()
+    first = group.column("chunk").to_numpy() == key[1].as_py()
+    weight = group.column("rows").to_numpy()
+    lists = group.column("grams").combine_chunks()
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy())
+    sets = np.split(lists.flatten().to_numpy(), ends[:-1])
+    order = np.lexsort([~first, kind])
+    links = np.zeros(len(kind), dtype=np.int64)
+    for rows in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
+        left = int(first[rows].sum()) if cross else len(rows)
+        if left == 0 or len(rows) - left == 0 and (cross or left == 1):
+            continue
+        shared = _overlaps([sets[r] for r in rows], left, cross)
+        a, b = rows[:left], rows[left:] if cross else rows
+        sizes = np.array([len(sets[r]) for r in rows])
+        joint = sizes[:left, None] + (sizes[left:] if cross else sizes)[None] - shared
+        near = shared * 100 >= joint * SIMILAR_PCT
+        if cross:
+            links[b] += near.T @ weight[a]
+        else:
+            np.fill_diagonal(near, False)
+        links[a] += near @ weight[b]
+    return pa.table({"s1": group.column("s1"), "s2": group.column("s2"), "links": links})
+
+
+def link_counts(classes: DataFrame, labels: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
+    """``s1, s2, links``: the rows with another set that each distinct set links with.
+
+    ``classes`` has one row per distinct set: ``s1, s2, n, rep, rows``. Sets are multiplied chunk by chunk, so no row
+    is made per pair: a component of ``k`` sets is sent ``k / LINK_CHUNK`` times.
     """
+    named = work.keep(_labelled(classes, "rep", labels, "component"))
+    sizes = named.groupBy("component").agg(F.count("*").alias("k"), F.sum("n").alias("grams")).filter("k > 1")
+    chunks = F.ceil(F.greatest(F.col("k") / LINK_CHUNK, F.col("grams") / CHUNK_GRAMS))
+    sizes = work.keep(sizes.select("component", "grams", chunks.alias("chunks")))
+    small = sizes.filter("chunks = 1").agg(F.sum("grams")).first()[0] or 0
+    wanted = named.join(sizes.drop("grams"), "component").select(F.col("rep").alias("id"), "s1", "s2", "rows", "component", "chunks")
+    wanted = work.keep(wanted)
+
+    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        hashes = WordHashes()
+        for batch in batches:
+            sets = list(_sets(batch, hashes))
+            halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), dtype=np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(halves[:, 0]), pa.array(halves[:, 1]), _arrays(sets)], ["id", "s1", "s2", "grams"]
+            )
+
+    ids = wanted.select("id").distinct()
+    ids = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+    sets = texts.join(ids, "id", "left_semi").mapInArrow(collect, f"id {_id_type(texts)}, s1 long, s2 long, grams array<long>")
+    sets = sets.join(wanted, ["id", "s1", "s2"]).dropDuplicates(["id", "s1", "s2"])  # rows with one id and one text
+    # components of one chunk share tasks' groups, about CHUNK_GRAMS in each
+    mark = F.xxhash64("component")
+    group = F.when(F.col("chunks") == 1, F.pmod(mark, F.lit(small // CHUNK_GRAMS + 1))).otherwise(mark)
+    chunk = F.pmod(F.xxhash64("s1", "s2"), F.col("chunks"))
+    dealt = sets.withColumns({"group": group, "chunk": chunk}).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = dealt.select(
+        "group", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"), "chunk",
+        "component", "s1", "s2", "rows", "grams",
+    )
+    counted = dealt.groupBy("group", "low", "high").applyInArrow(_links_of_chunks, "s1 long, s2 long, links long")
+    return work.keep(counted.groupBy("s1", "s2").agg(F.sum("links").alias("links")))
+
+
+def _joined_up(docs: DataFrame, work: Workspace, key: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Texts, sets of all rows, distinct sets and the component of every id that links."""
     base = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     sets = work.keep(block_sets(base, common_ngrams(base, work)))
     full = sets.filter((F.col("n") > 0) & F.col("id").isNotNull())
@@ -301,10 +390,43 @@ def similar_documents(docs: DataFrame, work: Workspace, key: str = "doc_id", tex
     labels = components(found.union(ties), work)
     named = _labelled(copies.join(several, "id", "left_anti"), "rep", labels, "component").select("id", "component")
     named = work.keep(named.union(labels))
+    return base, sets, classes, named
+
+
+def similar_documents(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: ``key, n_shingles, component_id``.
+
+    Two documents link when at least 80 % of their joint distinct five-word shingles are shared; the component
+    id is the smallest id that links lead to. A text of fewer than five words is one shingle; NULL, empty
+    and blank texts have none and link with nothing. Equal sets are compared once. Rows with one id are one
+    document: what links to any of them joins them all. Rows with a NULL id link with nothing and have a
+    NULL component. Other columns are not read; an empty table gives an empty table.
+    """
+    _, sets, _, named = _joined_up(docs, work, key, text)
     out = sets.select(F.col("id"), "n").join(named, "id", "left")
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
+def linked_documents(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``similar_documents`` with ``n_links``: how many other documents a document links with, by its own text.
+
+    Equal texts link with each other and count one by one. Every row with an id counts, also where rows repeat an
+    id; rows without words or with a NULL id have no links.
+    """
+    base, sets, classes, named = _joined_up(docs, work, key, text)
+    counts = link_counts(classes, named, base.filter(F.col("id").isNotNull()), work)
+    totals = classes.join(counts, ["s1", "s2"], "left").select(
+        "s1", "s2", (F.coalesce("links", F.lit(0)) + F.col("rows") - 1).alias("n_links")
+    )
+    totals = work.keep(totals.filter("n_links > 0"))
+    out = sets.select("id", "n", "s1", "s2").join(totals, ["s1", "s2"], "left").join(named, "id", "left")
+    linked = F.when(F.col("id").isNull() | (F.col("n") == 0), 0).otherwise(F.coalesce("n_links", F.lit(0)))
+    return out.select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
+        linked.cast("long").alias("n_links"),
+    )
+
+
 def one_of_each(docs: DataFrame, work: Workspace, key: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id; every column as it is."""
     gone = similar_documents(docs, work, key).filter(F.col("component_id") != F.col(key))
@@ -316,6 +438,10 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
 
 
+def op3_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_documents(table(spark, sf_dir, "documents"), Workspace(spark, "op3-links"))
+
+
 # all pairs that share a shingle, then reachability by recursion over the links
 OP3_SQL = r"""
 WITH RECURSIVE w AS (

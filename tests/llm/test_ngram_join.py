@@ -114,3 +114,29 @@ def test_block_size_is_enough():
         for shared in range(-(-n * 80 // 100), n + 1):  # at least this much of a set is shared with a similar one
             assert n - shared < ngram_join.block_size(n)
     assert np.all([ngram_join.block_size(n) <= n for n in range(1, 100)])
+
+
+def brute_links(rows):
+    sets = [grams(t) for _, t in rows]
+    return sorted(
+        (d, sum(bool(x and y) and i != j and 100 * len(x & y) >= 80 * len(x | y) for j, y in enumerate(sets)))
+        for i, ((d, _), x) in enumerate(zip(rows, sets))
+    )
+
+
+@pytest.mark.parametrize("chunk", [512, 4])
+def test_every_link_is_counted(docs_of, work, monkeypatch, chunk):
+    monkeypatch.setattr(ngram_join, "LINK_CHUNK", chunk)
+    rows = corpus(3, groups=4, copies=25)
+    rows += [(9000 + i, t) for i, t in enumerate([None, "", "one two", "ONE two", *["a b c d e f g"] * 3])]
+    got = ngram_join.linked_documents(docs_of(rows), work).collect()
+    assert sorted((r["doc_id"], r["n_links"]) for r in got) == brute_links(rows)
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute(rows)
+
+
+def test_links_of_repeated_and_null_ids(docs_of, work):
+    a, b = "a b c d e f g", "p q r s t u v"
+    rows = [(1, a), (2, a), (2, b), (4, b), (None, a), (4, b), (5, a + " h"), (5, a + " h")]
+    got = ngram_join.linked_documents(docs_of(rows), work).collect()
+    assert sorted((r["doc_id"] or 0, r["n_links"]) for r in got) == [(0, 0), (1, 1), (2, 1), (2, 2), (4, 2), (4, 2), (5, 1), (5, 1)]
+    assert ngram_join.linked_documents(docs_of([]), work).collect() == []
