@@ -2,8 +2,9 @@
 
 Windows as long as a benchmark item are fingerprinted by SimHash where a document shares a shingle with
 the item. Fingerprints are cut into one block more than the radius, so two fingerprints within the radius
-agree in a block; windows and items meet by block. Pairs within the radius are verified by the exact
-similarity of their weighted shingles.
+agree in a block; windows and items meet by block. Fingerprints can miss a similar pair, so the windows of a
+document also meet every item whose shingles it holds to the share a similar window must hold. Nothing similar is
+beyond that. All these pairs are verified by the exact similarity of their weighted shingles.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from regain.llm.native import trimmed_words, with_shingles
 
 SHINGLE = 5
 SIMILAR_PCT = 80
-RADIUS = 31  # of 128 bits: a window at similarity 0.8 lies 3.5 standard deviations inside
+RADIUS = 31  # of 128 bits
 BLOCKS = RADIUS + 1  # of four bits
 BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 # item shingles are sent to every executor up to so many (8 bytes each), and joined by a shuffle beyond it
@@ -92,6 +93,16 @@ def _shingled(texts: DataFrame, k: int) -> DataFrame:
     return with_shingles(texts.withColumn("words", trimmed_words(F.lower("text"), BETWEEN_WORDS)), "words", "shingles", k)
 
 
+def _held_items(spots: DataFrame, known: DataFrame) -> DataFrame:
+    """``doc, row, item_id, n_words``: items of whose shingles a document holds enough for a similar window. What is
+    shared is at most what it holds, and the joint weight is at least the item's."""
+    weights = known.select("item_id", "n_words", F.size("shingles").alias("size"), F.explode("shingles").alias("h"))
+    weights = weights.groupBy("item_id", "n_words", "size", "h").agg(F.count("*").alias("weight"))
+    held = spots.select("doc", "row", "h").distinct().join(weights, "h")
+    held = held.groupBy("doc", "row", "item_id", "n_words", "size").agg(F.sum("weight").alias("held"))
+    return held.filter(F.col("held") * 100 >= F.col("size") * SIMILAR_PCT).select("doc", "row", "item_id", "n_words")
+
+
 def _leaks_of_size(texts: DataFrame, known: DataFrame, k: int, work: Workspace) -> DataFrame:
     known = work.keep(with_simhash(known.drop("words"), "shingles"))
     places = known.select("n_words", F.posexplode("shingles").alias("item_pos", "h"))
@@ -101,7 +112,10 @@ def _leaks_of_size(texts: DataFrame, known: DataFrame, k: int, work: Workspace)
         wanted = F.broadcast(wanted)
     # "outer", or else a filter on the array's size would be pushed below and work the hashes out again
     spots = _shingled(texts, k).select("doc", "row", F.size("words").alias("doc_words"), F.posexplode_outer("shingles").alias("pos", "h"))
-    hits = spots.join(wanted, F.col("h") == F.col("wanted"), "left_semi").join(places, "h")
+    spots = work.keep(spots.join(wanted, F.col("h") == F.col("wanted"), "left_semi"))
+    whole = work.keep(_held_items(spots, known))
+    kinds = whole.select(F.col("doc").alias("d"), F.col("row").alias("r"), "n_words").distinct()
+    hits = spots.join(kinds, F.col("doc").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r"))).join(places, ["h", "n_words"])
     # where the shared shingle puts the item's first word, moved inside the document
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("item_pos"), F.col("doc_words") - F.col("n_words")))
     windows = work.keep(hits.select("doc", "row", "n_words", start.alias("start")).distinct())
@@ -122,8 +136,11 @@ def _leaks_of_size(texts: DataFrame, known: DataFrame, k: int, work: Workspace)
     near = (
         by_block.join(of_items, ["block", "bits"])
         .filter((F.col("n_words") == F.col("item_words")) & (apart <= RADIUS))
-        .select("doc", "n_words", "start", "item_id").distinct()
+        .select("doc", "n_words", "start", "item_id")
     )
+    held = whole.select(F.col("doc").alias("d"), F.col("n_words").alias("w"), "item_id").distinct()
+    held = marked.join(held, F.col("doc").eqNullSafe(F.col("d")) & (F.col("n_words") == F.col("w")))
+    near = near.union(held.select(*near.columns)).distinct()
     of_item = known.select(F.col("item_id").alias("i"), numbered(F.col("shingles")).alias("theirs"))
     of_window = marked.select(
         F.col("doc").alias("d"), F.col("n_words").alias("w"), F.col("start").alias("s"), numbered(F.col("shingles")).alias("ours")

@@ -93,3 +93,13 @@ def test_empty_tables(docs_of, spark, work):
     none = spark.createDataFrame([], "item_id long, text string")
     assert run(docs_of([(1, "a b c")]), none, work) == {}
     assert run(docs_of([]), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string"), work) == {}
+
+
+def test_windows_far_from_the_fingerprint(docs_of, spark, work):
+    """The foreign part of a window is one word over and over: few bits agree at a similarity of 0.806."""
+    items = [(i, " ".join(f"t{i}x{j}" for j in range(200))) for i in range(8)]
+    rows = [(i, " ".join(text.split()[:179] + ["filler"] * 21)) for i, text in items]
+    rows += [(None, rows[0][1]), (100, " ".join(items[0][1].split()[:170] + ["filler"] * 30))]
+    got = run(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"), work)
+    want = brute(rows, items)
+    assert len(want) == 9 and {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
