@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from regain.llm.decontaminate import op7_decontaminate
+from regain.llm.embedding_dedup import OP11_SQL, op11_embedding_dedup
 from regain.llm.fingerprints import op9_fingerprints
+from regain.llm.manifest import OP12_SQL, op12_merkle_manifest
 from regain.llm.mixing import OP4_SQL, op4_mix_sources
 from regain.llm.ngram_join import OP3_SQL, op3_ngram_join, op3_ngram_links
 from regain.llm.quality import op10_quality
+from regain.llm.ranked_search import OP13_SQL, op13_ranked_search
 from regain.llm.suffix_dedup import OP8_SQL, op8_suffix_dedup
 from regain.llm.tokens import op1_token_counts
 from regain.llm.toxicity import op2_toxicity
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_fingerprints": op9_fingerprints,
     "op10_quality": op10_quality,
+    "op11_embedding_dedup": op11_embedding_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -32,4 +38,7 @@ ORACLE: dict[str, str] = {
     "op4_mix_sources": OP4_SQL,
     "op5_warc": OP5_SQL,
     "op8_suffix_dedup": OP8_SQL,
+    "op11_embedding_dedup": OP11_SQL,
+    "op12_merkle_manifest": OP12_SQL,
+    "op13_ranked_search": OP13_SQL,
 }
