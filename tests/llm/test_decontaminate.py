@@ -75,8 +75,9 @@ def test_large_benchmarks_are_joined_by_shuffle(docs_of, spark, work, monkeypatc
     assert set(run(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"), work)) == set(brute(rows, items))
 
 
-def test_fingerprints_within_the_radius_share_a_block():
-    assert decontaminate.BLOCKS == decontaminate.RADIUS + 1 and decontaminate.BLOCKS * 4 == 128
+def test_fingerprints_within_the_radius_differ_little_in_a_block():
+    d = decontaminate
+    assert d.RADIUS < d.BLOCKS * (d.NEAR_BITS + 1) and d.BLOCKS * d.BLOCK_BITS == 64 * d.PARTS == 256
 
 
 def test_documents_without_leaks_stay_whole(docs_of, spark, work):
@@ -103,3 +104,70 @@ def test_windows_far_from_the_fingerprint(docs_of, spark, work):
     got = run(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"), work)
     want = brute(rows, items)
     assert len(want) == 9 and {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+
+
+def moved(seed, n=60):
+    """Passages of 60 words whose parts were moved, shifted, cut or interrupted, between fillers."""
+    rng = random.Random(seed)
+    items = [(i, " ".join(f"m{i}x{rng.randrange(400)}" for _ in range(n))) for i in range(30)]
+    rows = []
+    for key in range(150):
+        passage = items[key % 30][1].split()
+        change = key % 5
+        if change == 0:  # its end first
+            at = rng.randrange(1, n)
+            passage = passage[at:] + passage[:at]
+        elif change == 1:  # another first line
+            passage[: rng.randrange(1, 12)] = [f"line{key}"] * rng.randrange(1, 12)
+        elif change == 2:  # something between
+            at = rng.randrange(1, n)
+            passage[at:at] = [f"between{key}"] * rng.randrange(1, 12)
+        elif change == 3:
+            for _ in range(rng.randrange(1, 5)):
+                passage[rng.randrange(n)] = f"new{key}"
+        else:  # halves in two places
+            passage = passage[: n // 2] + [f"far{key}"] * rng.randrange(0, 9) + passage[n // 2 :]
+        around = [f"f{rng.randrange(10**6)}" for _ in range(2 * rng.randrange(0, 40))]
+        rows.append((key, " ".join(around[::2] + passage + around[1::2])))
+    return rows, items
+
+
+def test_moved_parts_against_all_windows(docs_of, spark, work):
+    rows, items = moved(5)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(rows, items)
+    got = run(docs_of(rows), table, work)
+    assert len(want) > 80 and {k: round(v, 9) for k, v in got.items()} == {k: round(v, 9) for k, v in want.items()}
+    exact = {(r[0], r["item_id"]) for r in decontaminate.leaks(docs_of(rows), table, work, exact=True).collect()}
+    assert exact == set(want)
+
+
+def test_fingerprints_decide(docs_of, spark, work, monkeypatch):
+    rows, items = case(3)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "RADIUS", -1)
+    assert run(docs_of(rows), table, work) == {}
+    everything = {(r[0], r["item_id"]) for r in decontaminate.leaks(docs_of(rows), table, work, exact=True).collect()}
+    assert everything == set(brute(rows, items))
+
+
+def test_recall_of_fingerprints(docs_of, spark, work):
+    """Barely similar windows: of those that reach 0.8, and no more than 0.85, at least nine in ten are found."""
+    rng = random.Random(8)
+    items = [(i, " ".join(f"r{i}x{rng.randrange(10**6)}" for _ in range(100))) for i in range(40)]
+    rows = []
+    for key in range(400):
+        passage = items[key % 40][1].split()
+        for _ in range(2):
+            passage[rng.randrange(100)] = f"w{rng.randrange(10**6)}"
+        rows.append((key, " ".join(passage)))
+    want = {k for k, v in brute(rows, items).items() if v <= 0.85}
+    got = run(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"), work)
+    assert len(want) > 100 and len(want & set(got)) >= 0.99 * len(want)
+
+
+def test_repeated_and_null_items(docs_of, spark, work):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    items = [(1, a), (1, b), (None, a), (2, a), (2, a)]
+    got = run(docs_of([(1, a), (2, b), (3, "clean")]), spark.createDataFrame(items, "item_id long, text string"), work)
+    assert got == {(1, 1): 1.0, (2, 1): 1.0, (1, None): 1.0, (1, 2): 1.0}
