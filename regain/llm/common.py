@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,3 +110,101 @@ def shingle_runs(words: np.ndarray, size: int) -> np.ndarray:
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """The distinct hashes of ``shingle_runs``, ascending."""
     return np.unique(shingle_runs(words, size))
+
+
+# hashes of all words of a batch at once: a polynomial over a random value of each byte, from a word's first byte on
+_CHUNK = 1 << 17
+_PIECE = 1 << 20
+_BASE = 0x9E3779B97F4A7C15
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
+_VALUES[0x41:0x5B] = _VALUES[0x61:0x7B]  # A-Z count as a-z
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+_UP, _DOWN = _powers(_BASE, _CHUNK + 1), _powers(pow(_BASE, -1, 1 << 64), _CHUNK + 1)
+
+
+def text_pieces(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``bytes, ends`` of the texts of a column without NULLs, about ``_PIECE`` bytes at a time, whole texts each."""
+    raw = column.cast(pa.binary())
+    ends = np.frombuffer(raw.buffers()[1], np.int32)[raw.offset : raw.offset + len(raw) + 1]
+    if not len(raw):
+        return
+    data = np.frombuffer(raw.buffers()[2], np.uint8) if raw.buffers()[2] else np.zeros(0, np.uint8)
+    at = 0
+    while at < len(raw):
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + _PIECE, side="right")) - 1)
+        yield data[ends[at] : ends[to]], (ends[at + 1 : to + 1] - ends[at]).astype(np.int64)
+        at = to
+
+
+def word_hashes(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words (A-Z as a-z) of some texts, in order, and where each text's words end."""
+    inside = ~_BLANK[data]
+    cut = np.zeros(len(data) + 1, dtype=bool)  # a text begins here
+    cut[ends] = True
+    cut[0] = True
+    before = np.empty(len(data), dtype=bool)
+    if len(data):
+        before[0], before[1:] = False, inside[:-1]
+    first = np.flatnonzero(inside & (~before | cut[:-1]))
+    after = np.append(inside[1:], False) if len(data) else inside
+    last = np.flatnonzero(inside & (~after | cut[1:])) + 1
+    out = np.empty(len(first), dtype=np.uint64)
+    at = 0
+    while at < len(first):
+        begin = first[at]
+        to = max(at + 1, int(np.searchsorted(last, begin + _CHUNK, side="right")))
+        size = last[to - 1] - begin
+        up, down = (_UP, _DOWN) if size <= _CHUNK else (_powers(_BASE, size), _DOWN)  # a word longer than a chunk, alone
+        total = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(_VALUES[data[begin : begin + size]] * up[:size], out=total[1:])
+        a, b = first[at:to] - begin, last[at:to] - begin
+        out[at:to] = mix64((total[b] - total[a]) * down[a] + (b - a).astype(np.uint64))
+        at = to
+    return out, np.searchsorted(first, ends)
+
+
+def text_runs(words: np.ndarray, ends: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of ``size`` words of each text, in order, and where each text's runs end; a text of fewer words is one run."""
+    begins = np.concatenate([[0], ends[:-1]])
+    count = ends - begins
+    value = np.zeros(len(words), dtype=np.uint64)
+    used = np.zeros(len(words) + 1, dtype=np.int64)
+    if len(words) >= size:
+        full = np.full(len(words) - size + 1, size, dtype=np.uint64)
+        for i in range(size):
+            full = mix64(full + words[i : len(words) - size + 1 + i])
+        value[: len(full)] = full
+    long, short = count >= size, (count > 0) & (count < size)
+    np.add.at(used, begins[long], 1)
+    np.add.at(used, ends[long] - size + 1, -1)
+    use = np.cumsum(used[:-1]) > 0
+    if short.any():
+        at, n = begins[short], count[short]
+        h = n.astype(np.uint64)
+        for i in range(size - 1):
+            some = n > i
+            h[some] = mix64(h[some] + words[at[some] + i])
+        value[at], use[at] = h, True
+    return value[use], np.cumsum(np.where(long, count - size + 1, short))
+
+
+def text_sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """For each text the distinct hashes of its runs, ascending."""
+    for data, ends in text_pieces(column):
+        runs, run_ends = text_runs(*word_hashes(data, ends), size)
+        begin = 0
+        for end in run_ends.tolist():
+            own = runs[begin:end]
+            own.sort()
+            fresh = np.ones(len(own), dtype=bool)
+            fresh[1:] = own[1:] != own[:-1]
+            yield own[fresh]
+            begin = end

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regain.llm.common import WordHashes, Workspace, shingle_hashes, shingle_runs, table
+from regain.llm.common import Workspace, table, text_pieces, text_runs, text_sets, word_hashes
 from regain.llm.components import components
 
 SHINGLE = 5
@@ -58,11 +58,6 @@ def _id_type(docs: DataFrame) -> str:
     return docs.schema["id"].dataType.simpleString()
 
 
-def _sets(batch: pa.RecordBatch, hashes: WordHashes) -> Iterator[np.ndarray]:
-    for raw in batch.column(1).cast(pa.binary()).to_pylist():
-        yield shingle_hashes(hashes.of(raw.lower().split()), SHINGLE)
-
-
 def _arrays(rows: list[np.ndarray]) -> pa.Array:
     ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
     flat = _signed(np.concatenate(rows)) if rows else np.zeros(0, np.int64)
@@ -77,24 +72,25 @@ def common_ngrams(texts: DataFrame, work: Workspace) -> np.ndarray:
     """
 
     def opening(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            blocks = [s[: block_size(len(s))] if len(s) else s for s in _sets(batch, hashes)]
+            blocks = [s[: block_size(len(s))] if len(s) else s for s in text_sets(batch.column(1), SHINGLE)]
             yield pa.RecordBatch.from_arrays([_arrays(blocks)], ["grams"])
 
     first = _many(texts, opening, MAX_COMMON // 4, work)
 
     def beside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
             found = []
-            for raw in batch.column(1).cast(pa.binary()).to_pylist():
-                runs = shingle_runs(hashes.of(raw.lower().split()), SHINGLE)
-                marks = np.zeros(len(runs) + 1, dtype=np.int64)
+            for data, ends in text_pieces(batch.column(1)):
+                runs, ends = text_runs(*word_hashes(data, ends), SHINGLE)
+                begins = np.concatenate([[0], ends[:-1]])
                 at = np.flatnonzero(_member(first, runs))
-                np.add.at(marks, np.maximum(at - NEAR, 0), 1)
-                np.add.at(marks, np.minimum(at + NEAR + 1, len(runs)), -1)
-                found.append(np.unique(runs[np.cumsum(marks[:-1]) > 0]))
+                text = np.searchsorted(ends, at, side="right")
+                marks = np.zeros(len(runs) + 1, dtype=np.int64)
+                np.add.at(marks, np.maximum(at - NEAR, begins[text]), 1)
+                np.add.at(marks, np.minimum(at + NEAR + 1, ends[text]), -1)
+                near = np.cumsum(marks[:-1]) > 0
+                found += [np.unique(runs[a:b][near[a:b]]) for a, b in zip(begins.tolist(), ends.tolist())]
             yield pa.RecordBatch.from_arrays([_arrays(found)], ["grams"])
 
     return np.union1d(first, _many(texts, beside, MAX_COMMON - len(first), work)) if len(first) else first
@@ -128,10 +124,9 @@ def block_sets(texts: DataFrame, common: np.ndarray) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        hashes = WordHashes()
         for batch in batches:
             sizes, marks, blocks = [], [], []
-            for s in _sets(batch, hashes):
+            for s in text_sets(batch.column(1), SHINGLE):
                 sizes.append(len(s))
                 marks.append(xxhash.xxh3_128_digest(s.tobytes()))
                 last = _member(common, s)
@@ -150,9 +145,8 @@ def whole_sets(texts: DataFrame, ids: DataFrame) -> DataFrame:
     """``id, grams``: the whole sets of some documents."""
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), _arrays(list(_sets(batch, hashes)))], ["id", "grams"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _arrays(list(text_sets(batch.column(1), SHINGLE)))], ["id", "grams"])
 
     wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
     return texts.join(wanted, "id", "left_semi").mapInArrow(collect, f"id {_id_type(texts)}, grams array<long>")
@@ -235,10 +229,10 @@ def _grams_of(pairs: DataFrame, texts: DataFrame, work: Workspace) -> DataFrame:
 def _central_links(
     rest: DataFrame, in_long: DataFrame, entries: int, texts: DataFrame, work: Workspace
 ) -> tuple[DataFrame, DataFrame]:
-    """Links found by comparing the members of long columns with one member each, a round at a time, until few pairs
+    """Links found by comparing the members of long columns with a few of them, twice as many each round, until few pairs
     of long columns lie in different components; and the members not yet compared with all others."""
     rest = work.keep(rest)
-    before = float("inf")
+    before, centres = float("inf"), 1
     found = work.keep(rest.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0))
     while True:
         here = work.keep(_labelled(rest, "id", components(found, work), "c"))
@@ -250,16 +244,19 @@ def _central_links(
         if left <= FEW_PAIRS * entries or (left <= MOST_PAIRS * entries and left > 0.8 * before):
             return rest, found
         before = left
-        # of the members of the smallest component the one that shares most with others
+        # of the members dealt to a centre, and of those of the smallest component, the one that shares most with others
         members = here.join(apart, "h", "left_semi").join(sizes, ["h", "c"]).join(in_long, "id")
         central = F.min_by(F.struct("id", "n", "c"), F.struct("k", -F.col("long"), "id")).alias("m")
-        central = work.keep(members.groupBy("h").agg(central).select(
+        dealt = F.pmod(F.xxhash64("id", F.lit(centres)), F.lit(centres)).alias("centre")
+        central = work.keep(members.groupBy("h", dealt).agg(central).select(
             "h", F.col("m.id").alias("b"), F.col("m.n").alias("nb"), F.col("m.c").alias("cb")
         ))
         one = here.select("h", F.col("id").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca"))
         pairs = one.join(central, "h").filter((F.col("ca") != F.col("cb")) & similar_sizes("na", "nb"))
-        pairs = work.keep(pairs.select("a", "b").distinct())
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = work.keep(pairs)
         found = work.keep(found.union(verified(pairs, _grams_of(pairs, texts, work))))
+        centres *= 2
         rest = work.keep(rest.join(central.select("h", F.col("b").alias("id")), ["h", "id"], "left_anti").select(*rest.columns))
 
 
@@ -346,9 +343,8 @@ def link_counts(classes: DataFrame, labels: DataFrame, texts: DataFrame, work: W
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        hashes = WordHashes()
         for batch in batches:
-            sets = list(_sets(batch, hashes))
+            sets = list(text_sets(batch.column(1), SHINGLE))
             halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), dtype=np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(halves[:, 0]), pa.array(halves[:, 1]), _arrays(sets)], ["id", "s1", "s2", "grams"]
@@ -435,11 +431,7 @@ def one_of_each(docs: DataFrame, work: Workspace, key: str = "doc_id") -> DataFr
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_documents(table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
-
-
-def op3_ngram_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linked_documents(table(spark, sf_dir, "documents"), Workspace(spark, "op3-links"))
+    return linked_documents(table(spark, sf_dir, "documents"), Workspace(spark, "op3"))
 
 
 # all pairs that share a shingle, then reachability by recursion over the links
@@ -467,6 +459,7 @@ WITH RECURSIVE w AS (
   SELECT r.id, e.b FROM r JOIN e ON r.reached = e.a
 )
 SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles,
-       least(doc_id, coalesce((SELECT min(reached) FROM r WHERE r.id = s.doc_id), doc_id)) AS component_id
+       least(doc_id, coalesce((SELECT min(reached) FROM r WHERE r.id = s.doc_id), doc_id)) AS component_id,
+       (SELECT count(*) FROM e WHERE e.a = s.doc_id) AS n_links
 FROM s
 """

@@ -70,6 +70,6 @@ def test_registered():
 
     names = [q for q in entry.queries() if q.startswith("op")]
     numbers = [int(q[2:].split("_")[0]) for q in names if q[2].isdigit()]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert os.path.basename(pipeline.__file__) == "corpus_pipeline.py"
