@@ -10,7 +10,7 @@ from oracle.models import with_models
 
 DATES = set(
     "ship_date order_date required_date received_date last_payment_date as_of_date first_purchase_date last_purchase_date "
-    "first_sold_date last_sold_date month last_12m_start prior_12m_start".split()
+    "first_sold_date last_sold_date month last_12m_start prior_12m_start month_end".split()
 )
 WHOLE = set(
     "quantity units order_to_ship_days item_count header_item_count line_count usage_count warehouse_qty consignment_qty other_qty "
@@ -20,7 +20,9 @@ WHOLE = set(
     "erp_units_sold_365_days erp_order_hits_365_days stopped_brand_count opportunity_rank product_rank available_home_branch "
     "available_all_branches best_branch_available customers position lines brands_sold_last_12m failing_rows avg_debtor_days buy_pack target "
     "_source_line doc_id line_no rows latin1_lines quoted_lines line_offset multiple gaps gaps_over cases ended_down ended_down_10 invoices "
-    "match_with_repeats match_without_repeats pairs net_zero codes accounts".split()
+    "match_with_repeats match_without_repeats pairs net_zero codes accounts "
+    "buyers_12m products_12m longest_gap gaps_over_2x gaps_over_4x min_score rank_in_salesperson rank_in_home_branch_name "
+    "rank_in_opportunity_type month_no".split()
 )
 MONEY = set(
     "ext_price ext_cost ext_cogs ext_price_change ext_weight gross_profit item_total cost_total cogs_total sales_tax freight_billed_in "
@@ -422,10 +424,14 @@ ORACLE["dq_tie_out"] = out(
     "check_name actual expected is_ok",
 )
 ORACLE["dq_same_across_branches"] = with_models("""
-select product_id from s_products group by product_id having count(distinct (coalesce(product_desc, ''), coalesce(product_desc_2, ''),
+select product_id from (select * replace (
+    if(branch_id = '1' and product_id::bigint % 40 = 3, product_desc || ' (old)', product_desc) as product_desc,
+    if(branch_id = '1' and product_id::bigint % 40 = 5, null, price_line) as price_line) from s_products)
+  group by product_id having count(distinct (coalesce(product_desc, ''), coalesce(product_desc_2, ''),
   coalesce(buy_line, ''), coalesce(price_line, ''), coalesce(gl_type, ''), coalesce(product_status, ''), coalesce(commodity_code, ''), is_kit)) > 1""")
 ORACLE["dq_flagged_have_reason"] = with_models(
-    "select customer_id from m_opps where is_flagged and (opportunity_rank is null or coalesce(reason, '') = '')"
+    # every twentieth reason is taken out, the next is emptied, the next loses its rank
+    "select customer_id from m_opps where is_flagged and (opportunity_rank % 20 in (1, 2, 3) or opportunity_rank is null or coalesce(reason, '') = '')"
 )
 
 # ---- analyses ----------------------------------------------------------------------------------
@@ -478,9 +484,137 @@ ORACLE["buyline_near_duplicates"] = out(
     "group by 1 having count(*) > 1)",
     "description buy_lines codes",
 )
-ORACLE["related_accounts"] = out(
-    "(select 'same name' as basis, a.customer_id, min(b.customer_id) as related_to, count(*) as accounts from s_customers a join s_customers b "
+# some accounts are billed to the account before them
+_LINKED = (
+    "(select * replace (if(customer_id::bigint % 30 = 10 or customer_id::bigint % 60 = 20, (customer_id::bigint - 1)::varchar, bill_to_customer_id) "
+    "as bill_to_customer_id) from s_customers)"
+)
+_RELATED = (
+    f"(with c as {_LINKED} select 'same name' as basis, a.customer_id, min(b.customer_id) as related_to, count(*) as accounts from c a join c b "
     "on regexp_replace(a.customer_name, ' \\(.*', '') = regexp_replace(b.customer_name, ' \\(.*', '') group by a.customer_id having count(*) > 1 "
-    "union all select 'master link', customer_id, bill_to_customer_id, 2 from s_customers where bill_to_customer_id <> customer_id)",
-    "basis customer_id related_to accounts",
+    "union all select 'master link', customer_id, bill_to_customer_id, 2 from c where bill_to_customer_id <> customer_id)"
+)
+ORACLE["related_accounts"] = out(_RELATED, "basis customer_id related_to accounts")
+ORACLE["account_groups"] = out(
+    f"(with recursive l as materialized {_RELATED}, e as (select basis, customer_id as a, related_to as b from l union all "
+    "select basis, related_to, customer_id from l), "
+    "r as (select a as id, a as seen from e union select r.id, e.b from r join e on e.a = r.seen), "
+    "g as (select id, min(seen) as g from r group by id) "
+    "select id as customer_id, g.g as group_id, n as accounts, by_name, by_link from g join "
+    "(select g, count(*) as n from g group by g having count(*) > 1) using (g) join "
+    "(select g, bool_or(basis = 'same name') as by_name, bool_or(basis = 'master link') as by_link from l join g on id = customer_id "
+    "where customer_id <> related_to group by g) using (g))",
+    "customer_id group_id accounts by_name by_link",
+)
+
+# ---- loads and versions ------------------------------------------------------------------------
+
+_SECOND = "(select min(lang) from documents where lang <> '')"
+ORACLE["reload_changed"] = f"""
+select doc_id, lang, if(lang = {_SECOND} and text is not null, 'second ' || coalesce(body, ''), body) as body,
+  if(lang = {_SECOND}, 'second', 'first') as load from ({ORACLE['ingest_extract']}) join (select doc_id, text from documents) using (doc_id)"""
+ORACLE["load_manifest"] = f"""
+select lang, if(lang = {_SECOND}, 'changed', 'same') as state, cast(count(*) as bigint) as rows,
+  cast(count(*) filter (encoding = 'latin-1') as bigint) as latin1_lines from ({ORACLE['ingest_extract']}) group by lang"""
+ORACLE["table_versions"] = out(
+    "(select opened_on, year(ship_date) as sales_year, count(*) as rows, sum(item_total) as item_total from s_orders, "
+    "(select unnest(['first', 'second', 'current']) as opened_on) where opened_on <> 'first' or ship_date < date '1995-01-01' group by all)",
+    "opened_on sales_year rows item_total",
+)
+
+# ---- the page as it opens ----------------------------------------------------------------------
+
+_FIRST = "(select * from m_opps where is_flagged order by opportunity_rank, customer_id limit 1)"
+ORACLE["ranked_list_filtered"] = out(
+    f"(select r.* from {_LABELLED} r join {_FIRST} f on r.salesperson = f.salesperson and r.home_branch_name = f.home_branch_name "
+    "where r.priority_score >= 1000)",
+    "opportunity_rank customer_id customer_name salesperson home_branch_name opportunity_type priority_score est_lost_gross_profit reason "
+    "last_purchase_date days_since_last_purchase as_of_date",
+)
+ORACLE["customer_page_months"] = out(
+    "(select d.customer_id, cast(date_trunc('month', ship_date) as date) as month, sum(d.gross_profit) as gross_profit, "
+    "date_trunc('month', ship_date) = date_trunc('month', any_value(as_of)) and any_value(as_of) <> last_day(any_value(as_of)) as is_partial_month "
+    f"from m_detail d join {_FIRST} f on f.customer_id = d.customer_id, m_dates where is_financial and ship_date >= p0 "
+    "group by d.customer_id, date_trunc('month', ship_date))",
+    "customer_id month gross_profit is_partial_month",
+)
+ORACLE["customer_page_invoices"] = out(
+    "(select d.customer_id, ship_date, invoice_no, ship_branch_name, count(*) filter (row_source = 'product_line') as lines, sum(revenue) as sales, "
+    "sum(d.gross_profit) as gross_profit, row_number() over (order by ship_date desc, invoice_no, ship_branch_name nulls last) as position "
+    f"from m_detail d join {_FIRST} f on f.customer_id = d.customer_id where is_financial group by d.customer_id, ship_date, invoice_no, ship_branch_name "
+    "order by position limit 15)",
+    "customer_id ship_date invoice_no ship_branch_name lines sales gross_profit position",
+)
+ORACLE["customer_page_sheet"] = out(
+    f"(select * from m_sheet where product_rank <= 10 and customer_id = (select customer_id from {_FIRST}))", "customer_id product_rank " + SHEET_COLUMNS
+)
+ORACLE["filter_totals"] = out(
+    "(select if(grouping(salesperson) = 1, '(all)', coalesce(salesperson, '(none)')) as salesperson, "
+    "if(grouping(home_branch_name) = 1, '(all)', coalesce(home_branch_name, '(none)')) as home_branch_name, "
+    "if(grouping(opportunity_type) = 1, '(all)', opportunity_type) as opportunity_type, min_score, count(*) as customers, "
+    "sum(est_lost_gross_profit) as est_lost_gross_profit, sum(priority_score) as expected_recoverable "
+    f"from {_LABELLED}, (select unnest([0, 1000, 5000, 10000]) as min_score) where priority_score >= min_score "
+    "group by min_score, cube (salesperson, home_branch_name, opportunity_type))",
+    "salesperson home_branch_name opportunity_type min_score customers est_lost_gross_profit expected_recoverable",
+)
+ORACLE["filter_ranks"] = out(
+    "(select customer_id, rank() over (partition by salesperson order by priority_score desc) as rank_in_salesperson, "
+    "rank() over (partition by home_branch_name order by priority_score desc) as rank_in_home_branch_name, "
+    f"rank() over (partition by opportunity_type order by priority_score desc) as rank_in_opportunity_type from {_LABELLED})",
+    "customer_id rank_in_salesperson rank_in_home_branch_name rank_in_opportunity_type",
+)
+ORACLE["export_list"] = with_models(
+    "select 1 + row_number() over (order by opportunity_rank, customer_id) as line_no, customer_id, customer_name, salesperson, home_branch_name, "
+    f"reason, last_purchase_date::varchar as last_purchase_date, priority_score::decimal(18,4)::double as priority_score from {_LABELLED}"
+)
+
+# ---- many dates at once ------------------------------------------------------------------------
+
+
+def _rolling(source: str, owner: str, member: str, name: str) -> str:
+    return out(
+        f"(with b as (select distinct {owner}, {member} as member, cast(date_trunc('month', ship_date) as date) as month from {source} "
+        f"where is_purchase and {owner} is not null and {member} is not null and ship_date is not null) "
+        f"select m.{owner}, m.month, count(distinct b.member) as {name} from (select distinct {owner}, month from b) m join b "
+        f"on b.{owner} = m.{owner} and b.month <= m.month and b.month > m.month - interval 12 month group by m.{owner}, m.month)",
+        f"{owner} month {name}",
+    )
+
+
+ORACLE["rolling_buyers"] = _rolling("m_lines", "product_id", "bill_to_customer_id", "buyers_12m")
+ORACLE["rolling_assortment"] = _rolling("m_tx", "customer_id", "product_id", "products_12m")
+ORACLE["month_end_change"] = out(
+    "(with e as (select cast(last_day(f) as date) as month_end from (select unnest(generate_series((select date_trunc('month', min(ship_date)) "
+    "from m_custdays), (select date_trunc('month', as_of) from m_dates), interval 1 month)) as f)), "
+    "j as (select customer_id, month_end, ship_date > cast(month_end - interval 12 month as date) as recent, sales, profit from m_custdays join e "
+    "on ship_date <= month_end and ship_date > cast(month_end - interval 24 month as date)) "
+    "select customer_id, month_end, sum(if(recent, sales, 0)) as sales_last_12m, sum(if(recent, 0, sales)) as sales_prior_12m, "
+    "sum(if(recent, profit, 0)) as gross_profit_last_12m, sum(if(recent, 0, profit)) as gross_profit_prior_12m from j group by customer_id, month_end)",
+    "customer_id month_end sales_last_12m sales_prior_12m gross_profit_last_12m gross_profit_prior_12m",
+)
+ORACLE["early_drop_by_month"] = out(
+    "(with y as (select customer_id, year(ship_date) as y, month_no, sum(if(month(ship_date) <= month_no, profit, 0)) as so_far, sum(profit) as whole "
+    "from m_custdays, (select unnest(range(1, 13)) as month_no) group by all), "
+    "p as (select b.month_no, coalesce(n.so_far, 0) as s, b.so_far as sb, coalesce(n.whole, 0) as f, b.whole as fb from y b "
+    "left join y n on n.customer_id = b.customer_id and n.y = b.y + 1 and n.month_no = b.month_no cross join m_dates "
+    "where b.y + 1 < year(as_of) and b.so_far >= 2000 and b.customer_id in (select customer_id from m_custdays where bought)), "
+    "d as (select *, 1.0::double - s::decimal(18,4)::double / sb::decimal(18,4)::double as dr from p) "
+    "select month_no, case when dr >= 0.40::double then 'down 40%+' when dr >= 0.20::double then 'down 20-40%' when dr >= 0.15::double then 'down 15-20%' "
+    "when dr >= 0.10::double then 'down 10-15%' when dr > 0 then 'down 0-10%' else 'up or flat' end as band, count(*) as cases, "
+    "count(*) filter (f < fb) as ended_down, count(*) filter (f * 10 <= fb * 9) as ended_down_10 from d group by 1, 2)",
+    "month_no band cases ended_down ended_down_10",
+)
+ORACLE["rhythm_states"] = out(
+    "(with d as (select customer_id, ship_date from m_custdays where bought and ship_date is not null), "
+    "s as (select customer_id, min(ship_date) as a, max(ship_date) as z, count(*) as n from d group by 1), "
+    "g as (select customer_id, date_diff('day', lag(ship_date) over (partition by customer_id order by ship_date), ship_date) as gap from d), "
+    "u as (select *, date_diff('day', a, z)::double / nullif(n - 1, 0) as usual from s) "
+    "select u.customer_id, any_value(a) as first_purchase_date, any_value(z) as last_purchase_date, any_value(n) as purchase_day_count, "
+    "any_value(usual) as avg_days_between_purchases, max(gap) as longest_gap, count(*) filter (gap > 2 * usual) as gaps_over_2x, "
+    "count(*) filter (gap > 4 * usual) as gaps_over_4x from u join g using (customer_id) group by u.customer_id)",
+    "customer_id first_purchase_date last_purchase_date purchase_day_count avg_days_between_purchases longest_gap gaps_over_2x gaps_over_4x",
+)
+ORACLE["dq_gate"] = " union all ".join(
+    'select *, case when failing_rows = 0 then \'pass\' when severity = \'error\' then \'stop\' else \'warn\' end as action '
+    f"from ({ORACLE[name]})" for name in ("dq_unique", "dq_not_null", "dq_accepted_values", "dq_relationships")
 )

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regain.config import Settings
 from regain.functions.numbers import safe_div
 from regain.functions.text import blank_to_null
+from regain.operators.closure import linked_groups
 from regain.operators.ranking import running_total
 from regain.operators.windows import ReportingDates
 
@@ -41,6 +42,15 @@ def gap_multiples(days: DataFrame, invoices: DataFrame, cfg: Settings = Settings
 DROP_BANDS = ((0.40, "down 40%+"), (0.20, "down 20-40%"), (0.15, "down 15-20%"), (0.10, "down 10-15%"), (0.0, "down 0-10%"))
 
 
+def drop_band(now: Column, before: Column) -> Column:
+    """The name of the drop from ``before`` to ``now``."""
+    drop = F.lit(1.0) - safe_div(now, before)
+    band = F.when(drop >= DROP_BANDS[0][0], DROP_BANDS[0][1])
+    for limit, name in DROP_BANDS[1:]:
+        band = band.when(drop > limit if limit == 0.0 else drop >= limit, name)
+    return band.otherwise("up or flat")
+
+
 def early_drop_predicts(years: DataFrame, dates: ReportingDates, min_profit: int = 2000) -> DataFrame:
     """Complete years: how a drop by the as-of day compares with the result of the whole year."""
     before = years.select(
@@ -49,13 +59,10 @@ def early_drop_predicts(years: DataFrame, dates: ReportingDates, min_profit: int
     )
     pairs = years.filter(F.col("sales_year") < F.year(dates.as_of_col)).join(before, ["customer_id", "sales_year"])
     pairs = pairs.filter(F.col("same_before") >= min_profit)
-    drop = F.lit(1.0) - safe_div(F.col("same_period_gross_profit"), F.col("same_before"))
-    band = F.when(drop >= DROP_BANDS[0][0], DROP_BANDS[0][1])
-    for limit, name in DROP_BANDS[1:]:
-        band = band.when(drop > limit if limit == 0.0 else drop >= limit, name)
+    band = drop_band(F.col("same_period_gross_profit"), F.col("same_before"))
     now, was = F.col("full_year_gross_profit"), F.col("full_before")
     return (
-        pairs.withColumn("band", band.otherwise("up or flat"))
+        pairs.withColumn("band", band)
         .groupBy("band")
         .agg(F.count("*").alias("cases"), F.count_if(now < was).alias("ended_down"), F.count_if(now * 10 <= was * 9).alias("ended_down_10"))
         .withColumn("share_ended_down", safe_div(F.col("ended_down"), F.col("cases")))
@@ -161,6 +168,22 @@ def related_accounts(customers: DataFrame) -> DataFrame:
     return by_name.unionByName(by_link)
 
 
+def account_groups(customers: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Candidate groups closed over both bases: every account that names and master links, taken together, lead to.
+
+    One row per account of a group of several: the smallest account is the group's id, with the group's size and the
+    bases that hold it together. Accounts of one name are linked to its first account, so a common name costs one link each.
+    """
+    related = keep(related_accounts(customers).select("basis", F.col("customer_id").alias("a"), F.col("related_to").alias("b")))
+    groups = keep(linked_groups(related, keep))
+    bases = related.filter("a <> b").join(groups, F.col("a") == F.col("account")).groupBy("group").agg(
+        F.bool_or(F.col("basis") == "same name").alias("by_name"), F.bool_or(F.col("basis") == "master link").alias("by_link")
+    )
+    sizes = groups.groupBy("group").agg(F.count("*").alias("accounts"))
+    out = groups.join(sizes.filter("accounts > 1"), "group").join(bases, "group")
+    return out.select(F.col("account").alias("customer_id"), F.col("group").alias("group_id"), "accounts", "by_name", "by_link")
+
+
 def encoding_profile(lines: DataFrame) -> DataFrame:
     """Per source: lines, lines not valid as UTF-8, and lines with a quote character.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -16,6 +17,15 @@ def _of(df: DataFrame, customer_id: str | None) -> DataFrame:
     return df if customer_id is None else df.filter(F.col("customer_id") == F.lit(customer_id))
 
 
+def _since(detail: DataFrame, since: dt.date | None) -> DataFrame:
+    """Rows from that day on; where the table is laid out by year, earlier years are not read."""
+    if since is None:
+        return detail
+    if "ship_year" in detail.columns:
+        detail = detail.filter(F.col("ship_year") >= since.year)
+    return detail.filter(F.col("ship_date") >= F.lit(since))
+
+
 def ranked_list(
     opportunities: DataFrame, salespeople: Sequence[str] = (), branches: Sequence[str] = (), types: Sequence[str] = (),
     min_score=0,
@@ -45,6 +55,14 @@ def headline_totals(ranked: DataFrame) -> DataFrame:
     )
 
 
+def first_of_list(opportunities: DataFrame) -> dict:
+    """The customer ranked first, with the values the list's filters would be set to for it; empty without flagged customers."""
+    first = opportunities.filter("is_flagged").orderBy("opportunity_rank", "customer_id").select(
+        "customer_id", "salesperson", "home_branch_name", "opportunity_type", "priority_score"
+    ).first()
+    return {} if first is None else first.asDict()
+
+
 def filter_values(opportunities: DataFrame) -> DataFrame:
     """Choices of the salesperson and branch filters."""
     flagged = opportunities.filter("is_flagged")
@@ -73,9 +91,11 @@ def customer_kpis(opportunities: DataFrame, customer_id: str | None = None) -> D
     )
 
 
-def monthly_profit(detail: DataFrame, dates: ReportingDates, customer_id: str | None = None) -> DataFrame:
+def monthly_profit(
+    detail: DataFrame, dates: ReportingDates, customer_id: str | None = None, since: dt.date | None = None
+) -> DataFrame:
     """Customer x month profit, and whether the month is the unfinished last one."""
-    money = _of(detail, customer_id).filter("is_financial and customer_id is not null")
+    money = _since(_of(detail, customer_id), since).filter("is_financial and customer_id is not null")
     month = F.trunc("ship_date", "month")
     partial = (month == F.trunc(dates.as_of_col, "month")) & (dates.as_of_col != F.last_day(dates.as_of_col))
     return (
@@ -106,10 +126,12 @@ def top_brand_drops(brands: DataFrame, customer_id: str | None = None, top: int
     )
 
 
-def recent_invoices(detail: DataFrame, customer_id: str | None = None, top: int = 15) -> DataFrame:
+def recent_invoices(
+    detail: DataFrame, customer_id: str | None = None, top: int = 15, since: dt.date | None = None
+) -> DataFrame:
     """Each customer's latest invoices, one row per date, invoice and branch; totals match the header."""
     keys = ["customer_id", "ship_date", "invoice_no", "ship_branch_name"]
-    totals = _of(detail, customer_id).filter("is_financial and customer_id is not null").groupBy(*keys).agg(
+    totals = _since(_of(detail, customer_id), since).filter("is_financial and customer_id is not null").groupBy(*keys).agg(
         F.count_if(F.col("row_source") == "product_line").alias("lines"),
         F.sum("revenue").alias("sales"),
         F.sum("gross_profit").alias("gross_profit"),

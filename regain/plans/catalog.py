@@ -6,6 +6,7 @@ they run over a full build, made once per session and folder.
 
 from __future__ import annotations
 
+import contextlib
 import math
 from collections.abc import Callable
 
@@ -15,14 +16,18 @@ from pyspark.sql import types as T
 
 from regain.config import EXTRACT_PATTERNS, Settings
 from regain.functions.text import clean_text
-from regain.operators import analyses, callsheet, explore, marts, opportunity, quality, staging
-from regain.plans import checks
+from regain.operators import analyses, callsheet, cube, distinct, explore, history, marts, opportunity, quality, staging
+from regain.plans import checks, versions
 from regain.plans.load import load
 from regain.plans.pipeline import CUSTOMERS, INVOICES, LINES, SEEDS, STAGING, Pipeline, build
 from regain.plans.session import tune
-from regain.plans.store import Scratch, move_files
+from regain.plans.files import delete_folder, move_files
+from regain.plans.gate import Gate
+from regain.plans.store import Scratch
 from regain.sources import extracts, untidy
+from regain.sources.intake import FILES, Intake, load_changed
 from regain.sources.sample import LOADED_AT, SampleTables
+from regain.sources.tables import export_one_file
 
 CFG = Settings()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,14 +102,13 @@ def _lookups(t: SampleTables) -> DataFrame:
 ROWS_PER_FILE = 50_000
 
 
-def _write_document_extract(spark: SparkSession, path: str, folder: str) -> None:
-    """The documents as tab-delimited files in mixed encodings: the input of the ingest queries.
+def _write_document_extract(docs: DataFrame, folder: str) -> None:
+    """Documents as tab-delimited files in mixed encodings: the input of the ingest queries.
 
     Every file starts with a header. Each data line carries the line number it is written to, so the
     numbers the reader finds can be compared with the truth. Latin-1 lines end in CR LF, and an
     empty line follows each document whose id is a multiple of seven.
     """
-    docs = spark.read.parquet(f"{path}/documents.parquet")
     files = max(8, math.ceil(docs.count() / ROWS_PER_FILE))
     repeat = F.when(F.col("doc_id") % 7 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     placed = (
@@ -128,7 +132,7 @@ def _write_document_extract(spark: SparkSession, path: str, folder: str) -> None
 def _document_extract(spark: SparkSession, path: str) -> DataFrame:
     scratch = Scratch(spark)
     folder = f"{scratch.root}/extract"
-    _write_document_extract(spark, path, folder)
+    _write_document_extract(spark.read.parquet(f"{path}/documents.parquet"), folder)
     return extracts.read_extract(spark, folder, "part-*.txt", LOADED_AT, scratch.keep, with_encoding=True)
 
 
@@ -148,6 +152,69 @@ def load_summary(spark: SparkSession, path: str) -> DataFrame:
     return summary.agg(F.sum("rows").alias("rows"), F.sum("latin1_lines").alias("latin1_lines"))
 
 
+FIRST_LOAD, SECOND_LOAD = "2026-09-08 00:00:00", "2026-09-09 00:00:00"
+
+
+def _two_deliveries(spark: SparkSession, path: str) -> Intake:
+    """The documents as extract files per language, loaded; then the first language delivered again with other texts, and
+    loaded again: the files of the other languages are not opened."""
+    scratch = Scratch(spark)
+    docs, folder = spark.read.parquet(f"{path}/documents.parquet"), f"{scratch.root}/in"
+    langs = sorted(r[0] for r in docs.select("lang").distinct().collect() if r[0])  # a handful
+
+    def deliver(lang: str, rows: DataFrame, parts: str) -> None:
+        _write_document_extract(rows.filter(F.col("lang") == lang), parts)
+        delete_folder(spark, f"{folder}/{lang}")
+        move_files(spark, parts, f"{folder}/{lang}", lambda k: f"docs_{lang}_{k}.txt")
+
+    def take(stamp: str) -> Intake:
+        return load_changed(spark, folder, "docs_*.txt", f"{scratch.root}/raw", stamp, scratch.keep)
+
+    for lang in langs:
+        deliver(lang, docs, f"{scratch.root}/first/{lang}")
+    take(FIRST_LOAD)
+    again = docs.withColumn("text", F.concat(F.lit("second "), "text"))
+    deliver(langs[0], again, f"{scratch.root}/second/{langs[0]}")
+    return take(SECOND_LOAD)
+
+
+def reload_changed(spark: SparkSession, path: str) -> DataFrame:
+    """Every row of the second load, and which load read it."""
+    raw = _two_deliveries(spark, path).table
+    load = F.when(F.col("_loaded_at") == F.lit(SECOND_LOAD).cast("timestamp"), "second").otherwise("first")
+    return raw.select(F.col("Doc_ID").cast("bigint").alias("doc_id"), F.col("Lang").alias("lang"), F.col("Body").alias("body"), load.alias("load"))
+
+
+def load_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """What became of the files of each language in the second load, with their rows."""
+    rows = _two_deliveries(spark, path).as_rows("documents")
+    files = spark.createDataFrame(rows, FILES).withColumn("lang", F.regexp_extract("file", "docs_(.*)_", 1))
+    return files.groupBy("lang", "state").agg(F.sum("rows").alias("rows"), F.sum("latin1_lines").alias("latin1_lines"))
+
+
+def table_versions(spark: SparkSession, path: str) -> DataFrame:
+    """Orders per year as readers of three moments see them: opened on the first version, on the second (which was made from
+    the first), and after a third was written but not accepted."""
+    scratch = Scratch(tune(spark))
+    table = f"{scratch.root}/orders"
+    orders = SampleTables(spark, path, CFG).stg_orders.select("invoice_no", "ship_date", "item_total")
+    early = F.col("ship_date") < F.lit("1995-01-01")
+
+    def refuse(_: DataFrame) -> None:
+        raise ValueError("not accepted")
+
+    first = versions.put(orders.filter(early), table)
+    second = versions.put(first.unionByName(orders.filter(~early)), table)
+    with contextlib.suppress(ValueError):
+        versions.put(orders.limit(0), table, accept=refuse)
+    out = None
+    for name, reader in (("first", first), ("second", second), ("current", versions.read(spark, table))):
+        rows = reader.groupBy(F.year("ship_date").alias("sales_year")).agg(F.count("*").alias("rows"), F.sum("item_total").alias("item_total"))
+        rows = rows.withColumn("opened_on", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return portable(out)
+
+
 # the extracts that are found by one exact file name
 SINGLE_FILES = {name: pattern for name, pattern in EXTRACT_PATTERNS.items() if "*" not in pattern}
 
@@ -198,8 +265,46 @@ def clean_text_query(spark: SparkSession, path: str) -> DataFrame:
     return docs.withColumn("dirty", dirty).select("doc_id", clean_text("dirty").alias("text"))
 
 
+# ---- one customer, one filter, one file --------------------------------------------------------
+
+
+def _first_page(make: Callable[[Pipeline, dict], DataFrame]) -> Query:
+    """Views of the page as it opens: the customer ranked first is chosen."""
+    return _over_build(lambda p: make(p, explore.first_of_list(p.opportunities)))
+
+
+def _filtered_list(p: Pipeline, first: dict) -> DataFrame:
+    return explore.ranked_list(p.opportunities, [first.get("salesperson")], [first.get("home_branch_name")], min_score=1000)
+
+
+def export_list(spark: SparkSession, path: str) -> DataFrame:
+    """The ranked list as its download file, read back line by line."""
+    p, scratch = built(spark, path), Scratch(spark)
+    ranked = explore.ranked_list(p.opportunities).drop("as_of_date")
+    file = f"{scratch.root}/win_back_opportunities.csv"
+    export_one_file(ranked, file, [F.col("opportunity_rank"), F.col("customer_id")])
+    lines = extracts.numbered_lines(spark, [file], scratch.keep).filter("_source_line > 1")
+    text = ", ".join(f"`{c}` string" for c in ranked.columns)
+    parsed = F.from_csv("value", text, {"quote": '"', "escape": '"', "mode": "FAILFAST"})
+    read = lines.select(F.col("_source_line").cast("bigint").alias("line_no"), parsed.alias("r")).select("line_no", "r.*")
+    return read.select(
+        "line_no", "customer_id", "customer_name", "salesperson", "home_branch_name", "reason", "last_purchase_date",
+        F.col("priority_score").cast("double").alias("priority_score"),
+    )
+
+
 # ---- checks ------------------------------------------------------------------------------------
 
+
+def dq_gate(spark: SparkSession, path: str) -> DataFrame:
+    """Every declared check as a guarded build makes it, and what a build that stops on errors would do."""
+    watch = Gate(stop=False)
+    build(spark, SampleTables(spark, path, CFG), Scratch(spark).root, CFG, watch)
+    action = F.when(F.col("failing_rows") == 0, "pass").when(F.col("severity") == "error", "stop").otherwise("warn")
+    return watch.as_frame(spark).withColumn("action", action)
+
+
+
 _TABLE_OF = {
     "int_sales_lines": "lines", "int_invoices": "invoices", "int_header_only_entries": "headers", "int_products": "products",
     "int_inventory_by_branch": "stock", "int_salespeople": "people", "int_buylines": "buylines",
@@ -220,6 +325,19 @@ def _customer_signal(*columns: str) -> Query:
     return _lazy(lambda p: p.scores.select("customer_id", *columns), shared=CUSTOMERS)
 
 
+def _rolling(p: Pipeline, rows: DataFrame, owner: str, member: str, out: str) -> DataFrame:
+    bought = rows.filter("is_purchase")
+    numbers = distinct.dense_numbers(bought, member, p.keep)
+    return distinct.rolling_distinct(p.keep(distinct.monthly_bitmaps(bought, owner, member, numbers)), owner, out)
+
+
+def _rhythm(p: Pipeline) -> DataFrame:
+    """Purchase days dealt to four loads at random, one of them loaded twice, merged."""
+    load = F.pmod(F.xxhash64("customer_id", "ship_date"), F.lit(4))
+    parts = [history.rhythm_states(p.days.filter(load == k)) for k in (2, 0, 3, 1, 2)]
+    return history.rhythm_of_states(p.keep(history.merged_states(parts)))
+
+
 def _recency(p: Pipeline) -> DataFrame:
     return marts.customer_recency(p.days, p.dates)
 
@@ -229,6 +347,9 @@ QUERIES: dict[str, Query] = {
     "ingest_extract": ingest_extract,
     "load_summary": load_summary,
     "load_files": load_files,
+    "reload_changed": reload_changed,
+    "load_manifest": load_manifest,
+    "table_versions": table_versions,
     "decode_mixed": decode_mixed,
     "encoding_profile": encoding_profile,
     "clean_text": clean_text_query,
@@ -294,7 +415,22 @@ QUERIES: dict[str, Query] = {
     "recent_invoices": _over_build(lambda p: explore.recent_invoices(p.sales_detail)),
     "sheet_by_brand": _over_build(lambda p: explore.sheet_by_brand(p.call_sheet)),
     "product_type_reference": _over_build(lambda p: explore.product_type_reference(p.product_mart)),
+    # the page as it opens
+    "ranked_list_filtered": _first_page(_filtered_list),
+    "customer_page_months": _first_page(lambda p, first: explore.monthly_profit(p.sales_detail, p.dates, first.get("customer_id"), p.dates.prior_start)),
+    "customer_page_invoices": _first_page(lambda p, first: explore.recent_invoices(p.sales_detail, first.get("customer_id"))),
+    "customer_page_sheet": _first_page(lambda p, first: explore.sheet_by_brand(p.call_sheet, first.get("customer_id"))),
+    "filter_totals": _over_build(lambda p: cube.all_totals(cube.cells(explore.ranked_list(p.opportunities)))),
+    "filter_ranks": _over_build(lambda p: (lambda ranked: cube.ranks(ranked, cube.cells(ranked)))(explore.ranked_list(p.opportunities))),
+    "export_list": export_list,
+    # many dates at once
+    "rolling_buyers": _lazy(lambda p: _rolling(p, p.money_lines, "product_id", "bill_to_customer_id", "buyers_12m")),
+    "rolling_assortment": _lazy(lambda p: _rolling(p, p.line_transactions, "customer_id", "product_id", "products_12m")),
+    "month_end_change": _lazy(lambda p: history.month_end_change(p.days, p.dates.as_of), shared=LINES),
+    "early_drop_by_month": _lazy(lambda p: history.early_drop_by_month(p.days, p.dates.as_of), shared=LINES),
+    "rhythm_states": _lazy(_rhythm, shared=LINES),
     # data quality
+    "dq_gate": dq_gate,
     "dq_unique": _over_build(lambda p: quality.unique(table_map(p), checks.UNIQUE)),
     "dq_not_null": _over_build(lambda p: quality.not_null(table_map(p), checks.NOT_NULL)),
     "dq_accepted_values": _over_build(lambda p: quality.accepted_values(table_map(p), checks.ACCEPTED_VALUES)),
@@ -303,8 +439,8 @@ QUERIES: dict[str, Query] = {
     "dq_tie_out": _over_build(lambda p: quality.tie_out(
         p.sales_detail, p.lines, p.headers, p.invoices, p.transactions, p.customer_mart, p.product_mart, p.customer_years
     )),
-    "dq_same_across_branches": _stage(lambda t: quality.same_across_branches(t.stg_products)),
-    "dq_flagged_have_reason": _over_build(lambda p: quality.flagged_have_reason(p.opportunities)),
+    "dq_same_across_branches": _stage(lambda t: quality.same_across_branches(untidy.differing_products(t.stg_products))),
+    "dq_flagged_have_reason": _over_build(lambda p: quality.flagged_have_reason(untidy.without_some_reasons(p.opportunities))),
     # analyses
     "gap_multiples": _lazy(lambda p: analyses.gap_multiples(p.days, p.purchase_invoices, CFG), shared=LINES),
     "early_drop_predicts": _lazy(lambda p: analyses.early_drop_predicts(p.customer_years, p.dates), shared=CUSTOMERS),
@@ -312,5 +448,6 @@ QUERIES: dict[str, Query] = {
     "cost_basis_check": _lazy(lambda p: analyses.cost_basis_check(p.money_lines, p.staged.stg_purchases, p.keep)),
     "consignment_nets_zero": _lazy(lambda p: analyses.consignment_nets_zero(p.lines)),
     "buyline_near_duplicates": _stage(lambda t: analyses.buyline_near_duplicates(t.stg_buylines)),
-    "related_accounts": _stage(lambda t: analyses.related_accounts(t.stg_customers)),
+    "related_accounts": _stage(lambda t: analyses.related_accounts(untidy.linked_customers(t.stg_customers))),
+    "account_groups": _lazy(lambda p: analyses.account_groups(untidy.linked_customers(p.staged.stg_customers), p.keep)),
 }

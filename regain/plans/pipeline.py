@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from regain.config import Settings
 from regain.operators import callsheet, dimensions, marts, opportunity, rules, windows
+from regain.plans import versions
+from regain.plans.gate import Gate
 from regain.plans.session import tune
 from regain.plans.store import Layers, Scratch
 
@@ -29,6 +31,14 @@ MARTS = (
 )
 LAYER_OF = {**dict.fromkeys(STAGING, "staging"), **dict.fromkeys(SEEDS, "seeds"), **dict.fromkeys(MARTS, "marts")}
 
+# one customer's rows of a year lie in few files; the line id lets a customer with very many rows take several
+DETAIL_LAYOUT = versions.Layout(
+    derive={"ship_year": "year(ship_date)"}, partition_by=("ship_year",), range_by=("ship_year", "customer_id", "sales_line_id")
+)
+# tables that meet on the invoice
+BY_INVOICE = ("int_sales_lines", "int_invoices")
+ROWS_PER_BUCKET, MOST_UNEVEN = 2_000_000, 4.0
+
 # what the money tables read of the lines
 MONEY_COLUMNS = (
     "sales_line_id", "company_id", "invoice_no", "bill_to_customer_id", "ship_to_customer_id", "product_id", "sell_group",
@@ -267,12 +277,19 @@ class Written:
         self.__dict__.update(tables)
 
 
-def build(spark, staged, root: str, settings: Settings = Settings()) -> Pipeline:
-    """Write every staging, intermediate and mart table under ``root`` and return the pipeline over them."""
+def build(spark, staged, root: str, settings: Settings = Settings(), gate: Gate | None = None) -> Pipeline:
+    """Write every staging, intermediate and mart table under ``root`` and return the pipeline over them.
+
+    Each table is a version of its own (see ``plans/versions.py``): a reader of an earlier build is not disturbed. With a
+    ``gate`` every table is checked as it is written; one that fails is not committed, and the build stops there.
+    """
     tune(spark)
-    layers = Layers(root, LAYER_OF)
-    written = Written({name: layers.put(name, getattr(staged, name)) for name in (*STAGING, *SEEDS)})
-    pipeline = Pipeline(written, settings, layers.put, Scratch(spark).keep, built=True)
+    layers = Layers(root, LAYER_OF, {"mart_sales_detail": DETAIL_LAYOUT})
+    put = layers.put if gate is None else gate.guarding(layers)
+    written = Written({name: put(name, getattr(staged, name)) for name in (*SEEDS, *STAGING)})
+    by_invoice = versions.even_buckets([written.stg_sales, written.stg_orders], "invoice_no", ROWS_PER_BUCKET, MOST_UNEVEN)
+    layers.layouts.update(dict.fromkeys(BY_INVOICE, by_invoice))
+    pipeline = Pipeline(written, settings, put, Scratch(spark).keep, built=True)
     for name in BUILD_ORDER:
         getattr(pipeline, name)
     return pipeline

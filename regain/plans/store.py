@@ -7,13 +7,15 @@ import contextlib
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import cached_property
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+from regain.plans import versions
+from regain.plans.files import delete_folder, file_system
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
@@ -30,36 +32,15 @@ def scratch_root(spark: SparkSession) -> str:
     return folder
 
 
-def _file_system(spark: SparkSession, path: str):
-    """(file system of the path, function that makes its paths)."""
-    make = spark._jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
-
-
-def delete_folder(spark: SparkSession, path: str) -> None:
-    files, make = _file_system(spark, path)
-    files.delete(make(path), True)
-
-
-def move_files(spark: SparkSession, source: str, target: str, name: Callable[[int], str]) -> None:
-    """Move the part files of a written folder, giving each a name by its place in the listing."""
-    files, make = _file_system(spark, source)
-    files.mkdirs(make(target))
-    parts = sorted(f.getPath().toString() for f in files.listStatus(make(source)) if f.getPath().getName().startswith("part-"))
-    for k, part in enumerate(parts):
-        if not files.rename(make(part), make(f"{target}/{name(k)}")):
-            raise OSError(f"cannot move {part} to {target}")
-
-
 def write_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Replace the table at ``path`` and return it read back.
+    """Replace a plain folder of Parquet files at ``path``, for readers that know no versions, and return it read back.
 
-    The new table is written beside the old one and then takes its place, so ``df`` may read the old table, and a
+    Tables of a build are versions instead (see ``Layers``). The new table is written beside the old one and then takes its place, so ``df`` may read the old table, and a
     write that fails leaves the old table as it was. Other frames over the old files end with them.
     """
     spark = df.sparkSession
     fresh, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
-    files, make = _file_system(spark, path)
+    files, make = file_system(spark, path)
     try:
         writer = df.write
         if partition_by:
@@ -115,16 +96,17 @@ class Scratch:
 
 @dataclass(frozen=True)
 class Layers:
-    """Named tables, one folder per layer, replaced by each build."""
+    """Named tables, one folder per layer, each with its versions. ``layouts`` says how a table lies on disk."""
 
     root: str
     layers: dict[str, str] = field(default_factory=dict)
+    layouts: dict[str, versions.Layout] = field(default_factory=dict)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{self.layers.get(name, 'intermediate')}/{name}"
 
     def put(self, name: str, df: DataFrame) -> DataFrame:
-        return write_table(df, self.path(name))
+        return versions.put(df, self.path(name), self.layouts.get(name, versions.PLAIN))
 
     def get(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.path(name))
+        return versions.read(spark, self.path(name))
