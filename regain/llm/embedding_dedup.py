@@ -23,10 +23,10 @@ from regain.llm.common import Workspace, table
 from regain.llm.components import components
 
 SIMILAR = 0.9
-PROBES = 24
+PROBES = 16
 # numbers of the sample the index is fitted on (about 32,768 vectors of 64)
 SAMPLE_VALUES = 1 << 21
-MAX_LISTS = 1024
+MAX_LISTS = 4096
 SUBSPACE, CODES = 8, 256
 CELL = 8192  # members, and probing vectors, of a cell
 AT_ONCE = 1 << 21  # entries of a product held at once
@@ -141,7 +141,8 @@ def _cell(model: Quantiser, group: pa.Table) -> pa.Table:
         return empty
     x, rows = _rows(group.column("vector").combine_chunks()), group.column("rows").to_numpy()
     own, here = group.column("own").to_numpy(), int(group.column("list")[0].as_py())
-    codes = model.codes(x[m], own[m])
+    coded = group.column("code").combine_chunks().take(pa.array(m)).to_pylist()
+    codes = np.frombuffer(b"".join(coded), dtype=np.uint8).reshape(len(m), -1)
     off = x[m] - model.decoded(codes, here)
     error = np.stack([np.sqrt((off[:, p] ** 2).sum(axis=1)) for p in model.parts], axis=1)
     probed = group.column("probes").combine_chunks().take(pa.array(m))
@@ -187,15 +188,18 @@ def _indexed(classes: DataFrame, model: Quantiser) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own, probes = model.lists_of(_rows(batch.column(2)))
+            x = _rows(batch.column(2))
+            own, probes = model.lists_of(x)
+            codes = pa.array([c.tobytes() for c in model.codes(x, own)], pa.binary())
             ends = np.concatenate([[0], np.cumsum([len(p) for p in probes])])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(probes)))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(own.astype(np.int32)), lists], ["rep", "rows", "vector", "own", "probes"]
+                [*batch.columns, pa.array(own.astype(np.int32)), lists, codes], ["rep", "rows", "vector", "own", "probes", "code"]
             )
 
     kind = classes.schema["rep"].dataType.simpleString()
-    return classes.mapInArrow(assign, f"rep {kind}, rows long, vector array<double>, own int, probes array<int>")
+    vector = classes.schema["vector"].dataType.simpleString()
+    return classes.mapInArrow(assign, f"rep {kind}, rows long, vector {vector}, own int, probes array<int>, code binary")
 
 
 def _linked(classes: DataFrame, n: int, width: int, work: Workspace, probes: int) -> DataFrame:
@@ -220,7 +224,8 @@ def _linked(classes: DataFrame, n: int, width: int, work: Workspace, probes: int
         own, other = ("m", "q") if member else ("q", "m")
         rows = rows.join(grid, "list").withColumn(f"{own}_cell", F.pmod(F.xxhash64("rep"), F.col(f"{own}_cells")))
         rows = rows.withColumn(f"{other}_cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}_cells") - 1)))
-        return rows.select("list", "m_cell", "q_cell", F.lit(member).alias("member"), "rep", "rows", "vector", "own", "probes")
+        asked = [F.when(F.lit(member), F.col(c)).alias(c) for c in ("probes", "code")]  # of members only
+        return rows.select("list", "m_cell", "q_cell", F.lit(member).alias("member"), "rep", "rows", "vector", "own", *asked)
 
     both = dealt(index.withColumn("list", F.col("own")), True).unionByName(dealt(probing, False))
     kind = classes.schema["rep"].dataType.simpleString()
@@ -241,7 +246,9 @@ def similar_vectors(
     with a NULL id link with nothing, have a NULL component and are not kept. Other columns are not read; an empty table
     gives an empty table.
     """
-    base = vectors.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    base = vectors.select(F.col(key).alias("id"), F.col(vector).alias("vector"))
+    if base.schema["vector"].dataType.simpleString() not in ("array<float>", "array<double>"):
+        base = base.withColumn("vector", F.col("vector").cast("array<double>"))
     good = F.col("id").isNotNull() & usable(F.col("vector"))
     # 128 bits of the vector, NULL where it links with nothing
     marked = base.select(
