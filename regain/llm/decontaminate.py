@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regain.llm.common import Workspace, table
+from regain.llm.common import Workspace, table, unused
 from regain.llm.native import trimmed_words, with_shingles
 
 SHINGLE = 5
@@ -138,17 +138,14 @@ def _leaks_of_size(texts: DataFrame, known: DataFrame, k: int, work: Workspace,
     # a document that holds too little of every item of a length needs no window of it
     kinds = whole.select(F.col("doc").alias("d"), F.col("row").alias("r"), "n_words").distinct()
     hits = spots.join(kinds, F.col("doc").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r"))).join(places, ["h", "n_words"])
-    last = F.greatest(F.lit(0), F.col("doc_words") - F.col("n_words"))
-    start = F.explode(F.array(F.least("pos", last), last)).alias("start")
-    windows = work.keep(hits.select("doc", "row", "n_words", start).distinct())
-    per_doc = windows.groupBy("doc", "row").agg(F.collect_set(F.struct("n_words", "start")).alias("windows"))
-    per_doc = work.keep(per_doc).select(F.col("doc").alias("d"), F.col("row").alias("r"), "windows")
+    per_doc = work.keep(_starts(hits, k).groupBy("doc", "row").agg(F.collect_list(F.struct("n_words", "starts")).alias("windows")))
+    per_doc = per_doc.select(F.col("doc").alias("d"), F.col("row").alias("r"), "windows")
     # joined before the shingles are worked out again, which few documents need
     here = texts.join(per_doc, F.col("doc").eqNullSafe(F.col("d")) & (F.col("row") == F.col("r")))
     cut = _shingled(here, k).select("doc", "row", "shingles", F.explode("windows").alias("w")).select(
-        "doc", "row", "w.n_words", "w.start",
-        F.slice("shingles", F.col("w.start") + 1, F.greatest(F.lit(1), F.col("w.n_words") - (k - 1))).alias("shingles"),
+        "doc", "row", "shingles", "w.n_words", F.explode("w.starts").alias("start")
     )
+    cut = cut.withColumn("shingles", F.slice("shingles", F.col("start") + 1, F.greatest(F.lit(1), F.col("n_words") - (k - 1))))
     # windows of equal content (128 bits of it) are one
     content = ["n_words", "m1", "m2"]
     cut = work.keep(cut.withColumns({"m1": F.xxhash64("shingles"), "m2": F.xxhash64(F.lit(k), "shingles")}))
@@ -172,6 +169,19 @@ def _leaks_of_size(texts: DataFrame, known: DataFrame, k: int, work: Workspace,
     )
 
 
+def _starts(hits: DataFrame, k: int) -> DataFrame:
+    """``doc, row, n_words, starts``: where windows of each length begin. Of the places of items' shingles those stay that
+    have enough such places in their window: a similar window shares as many as 80 % of an item."""
+    size = F.greatest(F.lit(1), F.col("n_words") - (k - 1))
+    least = F.ceil(size * SIMILAR_PCT / 100).cast("int")
+    last = F.greatest(F.lit(0), F.col("doc_words") - F.col("n_words"))
+    placed = hits.groupBy("doc", "row", "n_words", "doc_words").agg(F.array_sort(F.collect_set("pos")).alias("places"))
+    placed = placed.withColumns({"size": size, "least": least, "last": last})
+    inside = "filter(places, (p, i) -> p < last AND get(places, i + least - 1) < p + size)"
+    at_end = "if(size(filter(places, p -> p >= last)) >= least, array(last), array())"
+    return placed.select("doc", "row", "n_words", F.expr(f"concat({inside}, {at_end})").alias("starts")).filter(F.size("starts") > 0)
+
+
 def _near(windows: DataFrame, items: DataFrame, content: list[str]) -> DataFrame:
     """``content, item_id, item_row`` of the windows and items of one length whose fingerprints are within the radius."""
     own = windows.select(*content, *FINGERPRINT, blocks())
@@ -185,8 +195,9 @@ def _near(windows: DataFrame, items: DataFrame, content: list[str]) -> DataFrame
 
 def without_leaks(docs: DataFrame, items: DataFrame, work: Workspace, key: str = "doc_id") -> DataFrame:
     """``docs`` without the documents that repeat a benchmark item; every column of the others as it is."""
-    bad = work.keep(leaks(docs, items, work, key).select(F.col(key).alias("_leak")).distinct())
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("_leak")), "left_anti")
+    name = unused(docs, "_leak")
+    bad = work.keep(leaks(docs, items, work, key).select(F.col(key).alias(name)).distinct())
+    return docs.join(bad, F.col(key).eqNullSafe(F.col(name)), "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
