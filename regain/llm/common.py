@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -32,17 +34,48 @@ def word_list(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def shielded(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """The table with those of its columns renamed that an operator uses names of, and the new names by the old ones."""
+    renamed: dict[str, str] = {}
+    for c in df.columns:
+        if c.lower() in names:
+            renamed[c] = unused(df, f"{c}_given")
+            df = df.withColumnRenamed(c, renamed[c])
+    return df, renamed
+
+
+def unshielded(df: DataFrame, renamed: dict[str, str]) -> DataFrame:
+    back = {new: old for old, new in renamed.items()}
+    return df.toDF(*[back.get(c, c) for c in df.columns])
+
+
 class Workspace:
     """Written tables of one operator run, in the folder all executors share.
 
     ``keep`` writes a frame and reads it back, which cuts its lineage: a lost executor never repeats
-    finished work. ``drop`` deletes a table that no later step reads.
+    finished work. ``drop`` deletes a table that no later step reads, ``close`` all of them. What is left goes when the
+    driver's Python ends, since a result may read it until then.
     """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-        self._paths: dict[int, str] = {}
+        atexit.register(self._close_quietly)
+
+    def close(self) -> None:
+        self.delete(self.root)
+
+    def _close_quietly(self) -> None:
+        with contextlib.suppress(Exception):  # the session may be gone
+            self.close()
 
     def path(self, name: str = "") -> str:
         return f"{self.root}/{name or uuid.uuid4().hex}"
@@ -51,7 +84,6 @@ class Workspace:
         path = self.path()
         df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(out)] = path
         out._workspace_path = path
         return out
 

@@ -76,28 +76,37 @@ def _induce_buckets(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: int)
 
 
 def _induce_one_by_one(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, size: int) -> np.ndarray:
-    n, symbols, rises = len(s), s.tolist(), is_s.tolist()
+    n = len(s)
+    # by place: the bucket its predecessor is induced into, -1 where it is of the other type or there is none; the
+    # entry at -1 stands for places of the array that are still empty
+    before = np.full((2, n + 1), -1, dtype=np.int64)
+    before[0, 1:n] = np.where(is_s[:-1], -1, s[:-1])
+    before[1, 1:n] = np.where(is_s[:-1], s[:-1], -1)
+    falls, rises = before.tolist()
     counts = np.bincount(s, minlength=size)
     ends = np.cumsum(counts)
-    heads, tails = (ends - counts).tolist(), ends.tolist()
-    array = [-1] * n
-    for j in reversed(lms.tolist()):
-        c = symbols[j]
-        tails[c] -= 1
-        array[tails[c]] = j
-    for i in range(n):
-        j = array[i] - 1
-        if j >= 0 and not rises[j]:
-            c = symbols[j]
-            array[heads[c]] = j
-            heads[c] += 1
+    heads = (ends - counts).tolist()
+    # the given suffixes from the end of their buckets down
+    turned = lms[::-1]
+    order = np.argsort(s[turned], kind="stable")
+    symbol = s[turned][order]
+    nth = np.arange(len(order)) - np.searchsorted(symbol, symbol)
+    start = np.full(n, -1, dtype=np.int64)
+    start[ends[symbol] - 1 - nth] = turned[order]
+    array = start.tolist()
+    for k in array:  # meets what it puts further on
+        c = falls[k]
+        if c >= 0:
+            h = heads[c]
+            array[h] = k - 1
+            heads[c] = h + 1
     tails = ends.tolist()
-    for i in range(n - 1, -1, -1):
-        j = array[i] - 1
-        if j >= 0 and rises[j]:
-            c = symbols[j]
-            tails[c] -= 1
-            array[tails[c]] = j
+    for k in reversed(array):
+        c = rises[k]
+        if c >= 0:
+            h = tails[c] - 1
+            array[h] = k - 1
+            tails[c] = h
     array[0] = n - 1
     return np.array(array, dtype=np.int64)
 
@@ -133,10 +142,14 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     induce = _induce_buckets if size <= SMALL_ALPHABET else _induce_one_by_one
     if len(s) == 1:
         return np.zeros(1, dtype=np.int64)
+    if size <= SMALL_ALPHABET:
+        s = s.astype(np.uint16)  # which is sorted by its digits
     is_s = ascending(s)
     is_lms = np.zeros(len(s), dtype=bool)
     is_lms[1:] = is_s[1:] & ~is_s[:-1]
     lms = np.flatnonzero(is_lms)
+    if size <= SMALL_ALPHABET and len(s) < 1 << 31:
+        lms = lms.astype(np.int32)
     first = induce(s, is_s, lms, size)
     ordered = first[is_lms[first]]
     names, distinct = _names(s, is_s, ordered, lms)

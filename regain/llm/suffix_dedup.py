@@ -3,8 +3,13 @@
 Every string of ``LENGTH`` bytes has an anchor, a short byte run chosen by content alone (the smallest hash
 in the string), so equal strings have equal anchors at the same place. Strings are dealt to shards by
 anchor; a string that repeats nowhere else never leaves its document. A stretch of strings with one anchor
-is a segment. Equal segments are settled by their digests. The different segments of an anchor go to its
-shard, where a suffix array is induced and permuted common prefixes tell which strings are equal.
+is a segment. Of equal segments (128 bits of their content) only the first goes on. The different segments of an
+anchor go to its shard, where a suffix array is induced and permuted common prefixes tell which strings are equal.
+
+Where an anchor has very many different segments, each is cut in two by the place of the anchor in its strings. The
+strings of one half share more than the anchor: the bytes that all of them cover, wherever they begin. Those are the
+half's own anchor, by which it is dealt anew; halves whose anchor occurs once are done with, equal halves become one, and
+what is still too much for a shard is halved again. So every string is settled in a shard of bounded size.
 """
 
 from __future__ import annotations
@@ -16,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from regain.llm.common import Workspace, mix64, table
+from regain.llm.common import Workspace, mix64, shielded, table, unshielded
 from regain.llm.suffix_array import permuted_common_prefixes, suffix_array
 from regain.operators.ranking import row_numbers
 
@@ -25,7 +31,7 @@ LENGTH = 100
 GRAM = 48  # bytes of an anchor: long enough that few repeat by chance
 WINDOW = LENGTH - GRAM + 1  # anchors a string can choose from
 BLOCK_BYTES = 1 << 18
-# an anchor with more different segments than this is settled by digests of its strings instead of a suffix array
+# segments of an anchor that has more different ones than this are halved, and each half gets an anchor of its own
 HOT_SEGMENTS = 512
 SHARD_BYTES = 1 << 21
 
@@ -63,8 +69,9 @@ def least_in_window(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
 
 
-def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Blocks of segments of some texts: ``block, owner, first string, strings, anchor hash, place in the block``.
+def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of segments of some texts: ``block, owner, first string, strings, anchor hash, place in the block, place of
+    the anchor in the first string``.
 
     Each string of ``LENGTH`` bytes lies in one segment. A text longer than a block is taken in blocks that
     overlap by a string, which may cut a segment in two.
@@ -106,7 +113,7 @@ def _block(parts: list[tuple[int, int, bytes]]):
     part = part_of[first]
     owner = np.array([o for o, _, _ in parts])[part]
     start = first - begins[part] + np.array([a for _, a, _ in parts])[part]
-    return block, owner, start, count, hashes[anchors[first]].view(np.int64), first
+    return block, owner, start, count, hashes[anchors[first]].view(np.int64), first, anchors[first] - first
 
 
 def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
@@ -116,12 +123,12 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
 def with_order(docs: DataFrame, work: Workspace, key: str, text: str) -> tuple[DataFrame, bool]:
     """The rows with ``_ord``, a number that ascends with the key, and whether rows may share one.
 
-    Unique keys are their own order. Else different rows are numbered by key (NULL last), then text; rows equal in
-    both share a number and so are treated alike.
+    Unique whole numbers are their own order. Else different rows are numbered by key, of any type with an order (NULL
+    last), then text; rows equal in both share a number and so are treated alike.
     """
     docs = docs.withColumn(text, F.coalesce(F.col(text), F.lit("")))
     repeated = docs.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1)).limit(1).count()
-    if not repeated:
+    if not repeated and isinstance(docs.schema[key].dataType, T.IntegralType):
         return docs.withColumn("_ord", F.col(key).cast("bigint")), False
     marked = docs.withColumn("_mark", F.xxhash64(text))
     rows = marked.select(F.col(key).alias("_key"), F.col("_mark").alias("_m")).distinct()
@@ -143,30 +150,40 @@ def repeated_places(texts: DataFrame) -> DataFrame:
 
     def anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, _, _, h, _ in segments(_texts(batch, 1)):
+            for _, _, _, _, h, _, _ in segments(_texts(batch, 1)):
                 yield pa.RecordBatch.from_arrays([pa.array(h)], ["h"])
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             orders = batch.column(0).to_numpy(zero_copy_only=False)
-            for _, owner, start, _, h, _ in segments(_texts(batch, 1)):
+            for _, owner, start, _, h, _, _ in segments(_texts(batch, 1)):
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(orders[owner]), pa.array(start)], ["h", "_ord", "start"])
 
     again = texts.mapInArrow(anchors, "h long").groupBy("h").count().filter("count > 1").select("h")
     return texts.mapInArrow(places, "h long, _ord long, start long").join(again, "h", "left_semi").select("_ord", "start")
 
 
+SEGMENT = "h long, d1 long, d2 long, _ord long, start long, strings long, place long, bytes binary"
+_NAMES = ["h", "d1", "d2", "_ord", "start", "strings", "place", "bytes"]
+
+
+def _segment_rows(h, orders, starts, strings, places, parts: list[bytes]) -> pa.RecordBatch:
+    import xxhash
+
+    marks = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, parts)), np.int64).reshape(-1, 2)
+    columns = [h, marks[:, 0], marks[:, 1], orders, starts, strings, places]
+    return pa.RecordBatch.from_arrays([*[pa.array(c) for c in columns], pa.array(parts, pa.binary())], _NAMES)
+
+
 def cut_segments(listed: DataFrame) -> DataFrame:
-    """``h, digest, _ord, start, strings, bytes``: the segments whose anchors are repeated."""
+    """``h, d1, d2, _ord, start, strings, place, bytes``: the segments whose anchors are repeated."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         for batch in batches:
             orders = batch.column(0).to_numpy(zero_copy_only=False)
             wanted = batch.column(2).to_pylist()
             wanted = [np.sort(np.array(w, dtype=np.int64)) for w in wanted]
-            for block, owner, start, count, h, first in segments(_texts(batch, 1)):
+            for block, owner, start, count, h, first, place in segments(_texts(batch, 1)):
                 repeated = np.zeros(len(start), dtype=bool)
                 for o in np.unique(owner):
                     own = np.flatnonzero(owner == o)
@@ -175,16 +192,36 @@ def cut_segments(listed: DataFrame) -> DataFrame:
                     repeated[own] = wanted[o][at] == start[own]
                 use = np.flatnonzero(repeated)
                 parts = [block[a : b + LENGTH - 1] for a, b in zip(first[use].tolist(), (first + count)[use].tolist())]
-                digest = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts)).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[use]), pa.array(digest), pa.array(orders[owner[use]]), pa.array(start[use]), pa.array(count[use]),
-                     pa.array(parts, pa.binary())],
-                    ["h", "digest", "_ord", "start", "strings", "bytes"],
-                )
-
-    return listed.select("_ord", "text", "starts").mapInArrow(
-        cut, "h long, digest long, _ord long, start long, strings long, bytes binary"
-    )
+                yield _segment_rows(h[use], orders[owner[use]], start[use], count[use], place[use], parts)
+
+    return listed.select("_ord", "text", "starts").mapInArrow(cut, SEGMENT)
+
+
+def halved(found: DataFrame, width: int) -> DataFrame:
+    """The segments cut where the anchor's place in their strings passes a multiple of ``width``.
+
+    All strings of a cut whose anchor is at ``low`` to ``low + width - 1`` cover the bytes from ``low`` before the anchor
+    on, ``LENGTH - width + 1`` of them: these are its new anchor. With a width of 1 that is the string itself.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            orders, starts, strings, places = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 3))
+            rows, parts = [], []
+            for o, s, n, place, part in zip(orders.tolist(), starts.tolist(), strings.tolist(), places.tolist(), batch.column(4).to_pylist()):
+                for low in range((place - n + 1) // width * width, place + 1, width):
+                    j, k = max(0, place - low - width + 1), min(n - 1, place - low)  # strings of this cut
+                    core = place - low
+                    h = xxhash.xxh3_64_intdigest(part[core : core + LENGTH - width + 1], low)
+                    rows.append((h, o, s + j, k - j + 1, place - j))
+                    parts.append(part[j : k + LENGTH])
+            if rows:
+                h, o, s, n, place = zip(*rows)
+                yield _segment_rows(np.array(h, dtype=np.uint64).view(np.int64), np.array(o), np.array(s), np.array(n), np.array(place), parts)
+
+    return found.select("_ord", "start", "strings", "place", "bytes").mapInArrow(cut, SEGMENT)
 
 
 def equal_strings(parts: list[bytes]) -> np.ndarray:
@@ -251,55 +288,44 @@ def _solve_shard(parts: list[bytes], orders: np.ndarray, starts: np.ndarray) ->
     )
 
 
-def hot_spans(hot: DataFrame, work: Workspace) -> DataFrame:
-    """The same for anchors with very many segments: each string by its digest, counted before it is joined."""
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            orders, starts = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for o, s, part in zip(orders.tolist(), starts.tolist(), batch.column(2).to_pylist()):
-                n = len(part) - LENGTH + 1
-                marks = b"".join(xxhash.xxh3_128_digest(part[i : i + LENGTH]) for i in range(n))
-                halves = np.frombuffer(marks, np.int64).reshape(-1, 2)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, o)), pa.array(np.arange(s, s + n)), pa.array(halves[:, 0]), pa.array(halves[:, 1])],
-                    ["_ord", "begin", "m1", "m2"],
-                )
-
-    marked = hot.select("_ord", "start", "bytes").mapInArrow(strings, "_ord long, begin long, m1 long, m2 long")
-    firsts = marked.groupBy("m1", "m2").agg(F.min("_ord").alias("o"), F.count("*").alias("k")).filter("k > 1").drop("k")
-    again = work.keep(marked.join(firsts, ["m1", "m2"]))
-    # the earliest place within the earliest document
-    places = again.filter("_ord = o").groupBy("m1", "m2").agg(F.min("begin").alias("b"))
-    late = again.join(places, ["m1", "m2"]).filter("_ord <> o OR begin <> b")
-    return late.select("_ord", "begin", (F.col("begin") + LENGTH).alias("end"))
-
-
 def removed_spans(texts: DataFrame, work: Workspace) -> DataFrame:
     """``_ord, begin, end``: spans (they may overlap) of bytes covered by a string that begins earlier, too."""
     places = work.keep(repeated_places(texts))
     lists = work.keep(places.groupBy("_ord").agg(F.collect_list("start").alias("starts")))
     found = work.keep(cut_segments(texts.join(lists, "_ord")))
     work.drop(places, lists)
+    spans, width = None, WINDOW
+    while True:
+        part, hot = _settled(found, work)
+        spans = part if spans is None else spans.unionByName(part)
+        if width == 1 or not hot.limit(1).count():
+            work.drop(found, hot)
+            return spans
+        width = -(-width // 2)
+        halves = work.keep(halved(hot, width))
+        work.drop(found, hot)
+        found = halves
+
+
+def _settled(found: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Spans of the segments that equal an earlier one and of those settled in shards; and the segments, one of each
+    content, whose anchor has too many different ones for a shard."""
+    key = ["h", "d1", "d2", "strings"]
     narrow = found.drop("bytes")
     earliest = F.min(F.struct("_ord", "start"))
-    classes = work.keep(
-        narrow.groupBy("h", "digest", "strings").agg(earliest.alias("e"), F.count("*").alias("k"))
-    )
-    late = narrow.join(classes.filter("k > 1"), ["h", "digest", "strings"]).filter(F.struct("_ord", "start") != F.col("e"))
+    classes = work.keep(narrow.groupBy(*key).agg(earliest.alias("e"), F.count("*").alias("k")))
+    late = narrow.join(classes.filter("k > 1"), key).filter(F.struct("_ord", "start") != F.col("e"))
     spans = late.select("_ord", F.col("start").alias("begin"), (F.col("start") + F.col("strings") + (LENGTH - 1)).alias("end"))
     kinds = classes.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     one_each = classes.join(kinds, "h").select("h", "kinds", F.col("e._ord").alias("_ord"), F.col("e.start").alias("start"))
-    apart = work.keep(found.select("h", "_ord", "start", "bytes").join(one_each, ["h", "_ord", "start"]))
+    apart = work.keep(found.select("h", "_ord", "start", "strings", "place", "bytes").join(one_each, ["h", "_ord", "start"]))
     cold = apart.filter(F.col("kinds") <= HOT_SEGMENTS)
     total = cold.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = cold.repartition(max(8, 2 * total // SHARD_BYTES), "h")
-    spans = spans.unionByName(shard_spans(shards)).unionByName(hot_spans(apart.filter(F.col("kinds") > HOT_SEGMENTS), work))
-    spans = work.keep(spans)
-    work.drop(found, apart)
-    return spans
+    spans = work.keep(spans.unionByName(shard_spans(shards)))
+    hot = work.keep(apart.filter(F.col("kinds") > HOT_SEGMENTS).drop("h", "kinds"))
+    work.drop(apart, classes)
+    return spans, hot
 
 
 def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -362,8 +388,14 @@ def without_repeats(docs: DataFrame, work: Workspace, key: str = "doc_id", text:
     """``docs`` with the repeated strings cut out of ``text``; rows stay, also those left empty.
 
     A cut never splits a character: the rest of a character that is only partly repeated stays. ``n_chars``, where
-    the table has it, is set to the new length; every other column and a NULL text stay as they are.
+    the table has it, is set to the new length; every other column and a NULL text stay as they are, whatever their names.
     """
+    given, renamed = shielded(docs, ("_ord", "_null", "_spans", "_mark", "_key", "_m"))
+    out = _without_repeats(given, work, renamed.get(key, key), renamed.get(text, text))
+    return unshielded(out, renamed)
+
+
+def _without_repeats(docs: DataFrame, work: Workspace, key: str, text: str) -> DataFrame:
     names = docs.columns
     marked, spans = ordered_spans(docs.withColumn("_null", F.col(text).isNull()), work, key, text)
 

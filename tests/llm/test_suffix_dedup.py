@@ -80,6 +80,23 @@ def test_hot_anchors_and_blocks(docs_of, work, monkeypatch):
     assert run(docs_of(rows), work) == brute(rows)
 
 
+def test_a_passage_between_texts_that_all_differ(docs_of, work, monkeypatch):
+    """One anchor with a segment of its own in every document: halved until shards can take it, without a row per string."""
+    made = []
+    halved = suffix_dedup.halved
+    monkeypatch.setattr(suffix_dedup, "halved", lambda found, width: made.append((width, found.count())) or halved(found, width))
+    monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 20)
+    rng = random.Random(9)
+    rows = []
+    for passage in ("p" * 30 + "q" * 30, "".join(rng.choices("rstuv", k=70)), "".join(rng.choices("wxyz", k=99)), "".join(rng.choices("hijk", k=130))):
+        for key in range(60):
+            a, b = ("".join(rng.choices("abcdefg", k=rng.randrange(20, 160))) for _ in range(2))
+            rows.append((len(rows), a + passage + b))
+    rows += [(1000 + k, rows[k * 7][1][5:]) for k in range(20)]
+    assert run(docs_of(rows), work) == brute(rows)
+    assert [w for w, _ in made][:2] == [27, 14] and all(n < 20 * len(rows) for _, n in made)
+
+
 def test_edge_cases(docs_of, work):
     rows = [(1, None), (2, ""), (3, "a" * 99), (4, "a" * 250), (5, "ab" * 300), (6, "a" * 100), (7, "xy" * 100000), (8, "é" * 120)]
     assert run(docs_of(rows), work) == brute(rows)
@@ -101,3 +118,10 @@ def test_texts_are_cut_at_characters(docs_of, work):
     assert out[1]["text"] == "ê" + shared + "ö" and out[2]["text"] == "ëä"
     assert out[2]["n_chars"] == 2 and out[3]["text"] is None and out[4]["n_chars"] == 5
     assert suffix_dedup.without_repeats(df, work).columns == df.columns
+
+
+def test_ids_of_any_type_with_an_order(spark, work):
+    rows = [(k, t) for k, t in corpus(4, 30)]
+    names = {k: f"id-{k:05d}" for k, _ in rows}
+    df = spark.createDataFrame([(names[k], t) for k, t in rows], "doc_id string, text string")
+    assert run(df, work) == [(names[r[0]], *r[1:]) for r in brute(rows)]
