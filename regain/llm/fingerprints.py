@@ -1,37 +1,46 @@
 """Document fingerprints: threshold-scaled sketches, built from DataFrame functions only.
 
 A sketch keeps every five-word shingle hash below a fixed fraction of the hash range, so sketches of
-parts merge by union, and shares of one sketch in another estimate containment however unequal the
-documents are. The smallest hash is always kept, so a text with words never has an empty sketch.
+parts merge, and shares of one sketch in another estimate containment however unequal the documents are. Where no
+hash is that low, the smallest one stands in, so a text with words never has an empty sketch; it goes when the sketch
+is merged with one that has lower hashes, so a merged sketch is that of both documents.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from regain.llm.common import Workspace, ascii_lower, table
 from regain.llm.native import NO_LONGS, trimmed_words, with_shingles
+from regain.operators.ranking import row_numbers
 
 SHINGLE = 5
 FRACTION = 8  # one hash in so many is kept
 RANGES, ROWS_PER_RANGE = 512, 2048
 
 
+def highest(fraction: int) -> int:
+    """Hashes below this one, of signed 64 bits, are the lowest of so many."""
+    return -(1 << 63) + (1 << 64) // fraction
+
+
 def with_sketch(df: DataFrame, text: str, out: str, fraction: int = FRACTION, size: int = SHINGLE) -> DataFrame:
     """Adds ``out``: the sorted sketch of a whole text; empty where the text has no words."""
     words, runs = f"_{out}_text", f"_{out}_runs"
     df = df.withColumn(words, trimmed_words(ascii_lower(F.col(text))))
     df = with_shingles(df, words, runs, size).drop(words)
-    limit = -(1 << 63) + (1 << 64) // fraction
-    low = F.filter(runs, lambda h: h < F.lit(limit))
+    low = F.filter(runs, lambda h: h < F.lit(highest(fraction)))
     least = F.when(F.size(runs) > 0, F.array(F.array_min(runs))).otherwise(F.array().cast(NO_LONGS))
     return df.withColumn(out, F.array_sort(F.array_union(low, least))).drop(runs)
 
 
-def merged(a: Column, b: Column) -> Column:
+def merged(a: Column, b: Column, fraction: int = FRACTION) -> Column:
     """The sketch of two documents taken together."""
-    return F.array_sort(F.array_union(a, b))
+    both = F.array_sort(F.array_union(a, b))
+    low = F.filter(both, lambda h: h < F.lit(highest(fraction)))
+    return F.when(F.size(low) > 0, low).otherwise(F.slice(both, 1, 1))
 
 
 def containment(a: Column, b: Column) -> Column:
@@ -78,7 +87,12 @@ def with_next(docs: DataFrame, work: Workspace, key: str = "doc_id", extra: tupl
 
     One shuffle of the texts, by range of the key. Only the first row of each range is looked up beside it.
     """
-    ranged = with_range(docs, key)
+    if isinstance(docs.schema[key].dataType, T.NumericType):
+        ranged = with_range(docs, key)
+    else:  # ids that are no numbers get some, in their order
+        known = docs.select(key).filter(F.col(key).isNotNull()).distinct()
+        numbers = row_numbers(known, [], [F.col(key)], "_number", work.keep)
+        ranged = with_range(docs.join(numbers, key, "left"), "_number").drop("_number")
     heads = work.keep(
         ranged.groupBy("_part").agg(F.min(key).alias("_head"), (F.count("*") - F.count(key)).alias("_nulls"))
     )

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from regain.llm.common import WORD, Workspace, table
+from regain.llm.common import WORD, Workspace, shielded, table, unshielded
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -107,6 +107,13 @@ def mix(
     a NULL source is a source of its own, the last; rows equal in key and text are taken or left together;
     an empty table gives an empty table. The sizes decide nothing but the thresholds, so reruns agree.
     """
+    given, renamed = shielded(docs, ("_h", "_s", "_rounds", "_below"))
+    return unshielded(_mix(given, work, weights, max_repeats, seed, renamed.get(key, key), whole_rows), renamed)
+
+
+def _mix(
+    docs: DataFrame, work: Workspace, weights: Sequence[int], max_repeats: int, seed: str, key: str, whole_rows: bool
+) -> DataFrame:
     own = ("size", "source_size", "target", "taken")
     measured = docs.drop(*[c for c in own if c in docs.columns]).withColumns(
         {"size": word_count(F.col("text")), "_h": mix_hash(F.col(key), F.col("text"), seed)}

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regain.llm.common import Workspace, table, text_pieces, text_runs, text_sets, word_hashes
+from regain.llm.common import Workspace, table, text_pieces, text_runs, text_sets, unused, word_hashes
 from regain.llm.components import components
 
 SHINGLE = 5
@@ -426,8 +426,9 @@ def linked_documents(docs: DataFrame, work: Workspace, key: str = "doc_id", text
 def one_of_each(docs: DataFrame, work: Workspace, key: str = "doc_id") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id; every column as it is."""
     gone = similar_documents(docs, work, key).filter(F.col("component_id") != F.col(key))
-    gone = work.keep(gone.select(F.col(key).alias("_gone")).distinct())
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    name = unused(docs, "_gone")
+    gone = work.keep(gone.select(F.col(key).alias(name)).distinct())
+    return docs.join(gone, F.col(key) == F.col(name), "left_anti")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -93,3 +93,25 @@ def test_sketches_merge_and_estimate_containment(spark):
         (fp.merged(df.a, df.b) == df.a).alias("absorbed"),
     ).first()
     assert row["in_base"] == 1.0 and 0.04 < row["in_part"] < 0.2 and row["absorbed"]
+
+
+def test_a_merged_sketch_is_that_of_both(spark):
+    """Small texts, whose sketch may be the stand-in for a low hash, merged with each other and with long ones."""
+    texts = [" ".join(f"s{k}x{i}" for i in range(n)) for k, n in enumerate([1, 3, 5, 6, 7, 9, 12, 20, 300] * 6)]
+    pairs = [(a, b) for a in texts[:20] for b in texts[20:]]
+    df = fp.with_sketch(fp.with_sketch(spark.createDataFrame(pairs, "a string, b string"), "a", "sa"), "b", "sb")
+    stand_ins = 0
+    for r in df.select("a", "b", fp.merged(df.sa, df.sb).alias("both")).collect():
+        a, b = sketch(r["a"]), sketch(r["b"])
+        low = {h for h in a | b if h < LIMIT}
+        assert r["both"] == sorted(low or {min(a | b)})
+        stand_ins += bool(low) and low != a | b
+    assert stand_ins > 50
+
+
+def test_ids_of_any_type_with_an_order(spark, work):
+    rows = [("b", "one two three four five six"), ("a", "seven eight"), (None, "nine"), ("c", None)]
+    got = fp.fingerprint_edits(spark.createDataFrame(rows, "doc_id string, text string"), work).collect()
+    numbered = [({"a": 1, "b": 2, "c": 3, None: None}[k], t) for k, t in rows]
+    want = {r[0]: r[1:5] for r in brute(numbered)}
+    assert {r["doc_id"]: tuple(r)[1:5] for r in got} == {k: want[{"a": 1, "b": 2, "c": 3, None: None}[k]] for k, _ in rows}

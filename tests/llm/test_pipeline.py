@@ -73,3 +73,30 @@ def test_registered():
     assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry.queries()
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert os.path.basename(pipeline.__file__) == "corpus_pipeline.py"
+
+
+NAMES = ("_gone", "_leak", "_ord", "_null", "_spans", "_mark", "_key", "_m", "_h", "_s", "_rounds", "_below", "_GONE_")
+
+
+def test_columns_named_as_the_stages_name_theirs(spark):
+    """Every stage keeps columns whose names it uses itself, with their values."""
+    from pyspark.sql import functions as F
+
+    docs = table(spark, SF, "documents")
+    wide = docs.withColumns({n: F.concat(F.lit(f"{n} "), F.col("doc_id").cast("string")) for n in NAMES})
+    for _, stage in pipeline.STAGES:
+        out = stage(spark, wide, SF)
+        assert out.columns[: len(wide.columns)] == wide.columns
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n} {r['doc_id']}" for r in rows for n in NAMES)
+
+
+def test_scratch_tables_end_with_their_workspace(spark, tmp_path):
+    from regain.llm.common import Workspace
+
+    work = Workspace(spark, "end")
+    work.root = f"file://{tmp_path}/end"
+    assert work.keep(spark.range(3)).count() == 3 and os.listdir(tmp_path / "end")
+    work.close()
+    work.close()
+    assert not os.path.exists(tmp_path / "end")
