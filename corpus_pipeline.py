@@ -4,7 +4,13 @@
 2. n-gram Jaccard join: of each group of similar documents the one with the smallest id stays.
 3. suffix-array dedup: strings of 100 bytes that begin earlier in the corpus, too, are cut out of the texts.
 4. benchmark decontamination: documents that repeat a benchmark item go.
-5. mixing: documents the mix takes stay, with the words taken (``taken``) and how often each is repeated.
+5. mixing: documents the mix takes stay, with the words taken (``taken``) and how often each is repeated (``repeats``).
+
+All stages take tables with any further columns, whatever their names, and keep them; only ``size``, ``source_size``,
+``target``, ``taken`` and ``repeats`` are replaced by the last stage, and ``n_chars`` is set anew where texts are cut.
+NULL and empty texts are neither toxic, near copies, repeats nor leaks and pass stages 1 to 4; the mix takes no words of
+them, so they end there. Stages 1 and 3 judge every row by its own text; rows that share an id are one document for stages
+2 and 4 (what one of them does happens to all), and rows with a NULL id link with nothing. An empty table gives an empty table, with the columns it would have.
 """
 
 from __future__ import annotations
@@ -50,11 +56,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over the whole ``documents`` table."""
+    """The stages over the whole ``documents`` table. What a stage wrote goes when the next one has read it."""
     work = Workspace(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES:
         docs = work.keep(stage(spark, docs, sf_dir))
+        if before is not None:
+            work.drop(before)
+        before = docs
     return docs
 
 
