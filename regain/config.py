@@ -105,6 +105,15 @@ class Settings:
     weight_declining: Decimal = WEIGHT_DECLINING
     weight_recovering: Decimal = WEIGHT_RECOVERING
 
+    # The words that name line types and header-only invoices; another company writes others.
+    consign_word: str = CONSIGN_WORD
+    consign_abbreviation: str = CONSIGN_ABBREVIATION
+    payment_word: str = PAYMENT_WORD
+    stock_move: str = STOCK_MOVE
+    header_patterns: tuple = HEADER_PATTERNS
+    # Whether a marker field of spaces only counts as empty.
+    trim_markers: bool = False
+
     header_tolerance: Decimal = HEADER_TOLERANCE
     house_rep_id: str = HOUSE_REP_ID
 

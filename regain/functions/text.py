@@ -38,9 +38,9 @@ def to_int(name: str) -> Column:
     return F.col(name).cast("int")
 
 
-def is_present(name: str) -> Column:
-    """Marker columns: anything but an empty field counts, spaces included."""
-    return F.col(name).isNotNull()
+def is_present(name: str, trim: bool = False) -> Column:
+    """Marker columns: anything but an empty field counts, spaces included unless they are trimmed."""
+    return (blank_to_null(F.col(name)) if trim else F.col(name)).isNotNull()
 
 
 def matches(col: Column, pattern: str) -> Column:

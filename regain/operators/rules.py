@@ -14,7 +14,7 @@ from regain.config import Settings
 from regain.functions.text import matches, upper_or_blank
 
 
-def money_flags(sales: DataFrame) -> DataFrame:
+def money_flags(sales: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Gross profit and the money-based flags of each line. Narrow.
 
     The text flag is a plain column, so plans that do not read it never run its patterns.
@@ -24,21 +24,21 @@ def money_flags(sales: DataFrame) -> DataFrame:
         sales.withColumn("gross_profit", F.col("ext_price") - F.col("ext_cogs"))
         .withColumn("is_financial", (F.col("ext_price") != 0) | (F.col("ext_cogs") != 0))
         .withColumn("is_purchase", F.col("ext_price") > 0)
-        .withColumn("is_consignment", matches(po, c.CONSIGN_WORD) | matches(po, c.CONSIGN_ABBREVIATION))
+        .withColumn("is_consignment", matches(po, cfg.consign_word) | matches(po, cfg.consign_abbreviation))
         # among lines carrying money a negative price comes first, so the flag needs no text
         .withColumn("is_return_credit", F.coalesce(F.col("ext_price") < 0, F.lit(False)))
     )
 
 
-def classify_lines(sales: DataFrame) -> DataFrame:
+def classify_lines(sales: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Every line with its type (8 values), flags, profit and days from order to shipment."""
-    lines = money_flags(sales)
+    lines = money_flags(sales, cfg)
     po = upper_or_blank("customer_po")
     not_financial = ~F.col("is_financial")
     line_type = (
         F.when(not_financial & F.col("is_consignment"), "consignment_transfer")
-        .when(not_financial & matches(upper_or_blank("product_desc"), c.PAYMENT_WORD), "payment_record")
-        .when(not_financial & matches(po, c.STOCK_MOVE), "stock_transfer")
+        .when(not_financial & matches(upper_or_blank("product_desc"), cfg.payment_word), "payment_record")
+        .when(not_financial & matches(po, cfg.stock_move), "stock_transfer")
         .when(not_financial, "other_zero_dollar")
         .when(F.col("ext_price") < 0, "return_credit")
         .when(F.col("ext_price") == 0, "no_charge")
@@ -91,11 +91,11 @@ def reconcile_invoices(orders: DataFrame, lines: DataFrame, cfg: Settings = Sett
     )
 
 
-def header_line_type() -> Column:
+def header_line_type(cfg: Settings = Settings()) -> Column:
     """Type of a header-only invoice: first matching rule wins."""
     po = upper_or_blank("customer_po")
     line_type = F.when(F.col("header_item_total") == 0, c.ZERO_TYPE)
-    for pattern, name in c.HEADER_PATTERNS:
+    for pattern, name in cfg.header_patterns:
         hit = matches(po, pattern)
         if name == "service_charge":
             hit = (F.col("sales_source") == c.SERVICE_CHARGE_SOURCE) | hit
@@ -103,7 +103,7 @@ def header_line_type() -> Column:
     return line_type.otherwise(c.OTHER_HEADER_TYPE)
 
 
-def classify_headers(invoices: DataFrame) -> DataFrame:
+def classify_headers(invoices: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """Headers without lines: what kind of money each is, in separate amount columns. Narrow."""
     total = F.col("header_item_total")
     kind = F.col("line_type")
@@ -115,7 +115,7 @@ def classify_headers(invoices: DataFrame) -> DataFrame:
 
     return (
         invoices.filter(F.col("reconciliation_status") == "header_only")
-        .withColumn("line_type", header_line_type())
+        .withColumn("line_type", header_line_type(cfg))
         .select(
             F.concat("invoice_no", F.lit(":header")).alias("sales_line_id"),
             "company_id", "invoice_no", "bill_to_customer_id", "ship_to_customer_id", "outside_salesperson_id",
@@ -177,13 +177,13 @@ def line_transactions(lines: DataFrame, remap: DataFrame) -> DataFrame:
     return _owned(rows, remap)
 
 
-def exception_transactions(invoices: DataFrame, remap: DataFrame) -> DataFrame:
+def exception_transactions(invoices: DataFrame, remap: DataFrame, cfg: Settings = Settings()) -> DataFrame:
     """What the invoices add to the lines: corrections (header minus lines) and rebates.
 
     One pass over the invoices for both; neither is ever a purchase or a return.
     """
     is_fix = F.col("reconciliation_status") == "variance"
-    is_rebate = (F.col("reconciliation_status") == "header_only") & (header_line_type() == c.REBATE_TYPE)
+    is_rebate = (F.col("reconciliation_status") == "header_only") & (header_line_type(cfg) == c.REBATE_TYPE)
     total = F.col("header_item_total")
     price = F.when(is_fix, total - F.col("line_price_total")).otherwise(total)
     cogs = F.when(is_fix, F.col("header_cogs_total") - F.col("line_cogs_total")).otherwise(F.lit(0))

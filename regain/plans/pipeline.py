@@ -91,14 +91,14 @@ class Pipeline:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self._table("int_sales_lines", rules.classify_lines(self.staged.stg_sales))
+        return self._table("int_sales_lines", rules.classify_lines(self.staged.stg_sales, self.cfg))
 
     @cached_property
     def money_lines(self) -> DataFrame:
         core = getattr(self.staged, "stg_sales_core", None)
         if core is None:
             return self.lines
-        return self._table("money_lines", rules.money_flags(core).select(*MONEY_COLUMNS))
+        return self._table("money_lines", rules.money_flags(core, self.cfg).select(*MONEY_COLUMNS))
 
     @cached_property
     def invoices(self) -> DataFrame:
@@ -106,7 +106,7 @@ class Pipeline:
 
     @cached_property
     def headers(self) -> DataFrame:
-        return self._table("int_header_only_entries", rules.classify_headers(self.exceptions))
+        return self._table("int_header_only_entries", rules.classify_headers(self.exceptions, self.cfg))
 
     @cached_property
     def exceptions(self) -> DataFrame:
@@ -168,7 +168,7 @@ class Pipeline:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        extra = rules.exception_transactions(self.exceptions, self.remap)
+        extra = rules.exception_transactions(self.exceptions, self.remap, self.cfg)
         return self._table("int_customer_transactions", rules.customer_transactions(self.line_transactions, extra))
 
     @cached_property

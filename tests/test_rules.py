@@ -115,3 +115,18 @@ def test_buylines_apply_only_sure_pairs(spark):
     seed = spark.createDataFrame([("B", "A", "high", ""), ("C", "A", "likely", "")], "buy_line string, mapped_buy_line string, confidence string, note string")
     got = {r.buy_line: (r.mapped_buy_line, r.buy_line_desc, r.is_in_lookup) for r in dimensions.map_buylines(lookup, products, seed).collect()}
     assert got == {"A": ("A", "Alpha", True), "B": ("A", "Beta", True), "C": ("C", "Gamma", True), "X": ("X", "X", False)}
+
+
+def test_another_companys_words(spark):
+    """Patterns and marker trimming are settings of a run."""
+    from regain.config import Settings
+    from regain.functions.text import is_present
+
+    cfg = Settings(consign_word=r"\bKOMMISSION", consign_abbreviation=r"\bKOM\b", stock_move="UMLAGERUNG", header_patterns=(("GUTSCHRIFT", "rebate_loyalty"),))
+    cases = [("KOMMISSION", "pipe", 0, 0), ("UMLAGERUNG", "pipe", 0, 0), ("CONSIGN", "pipe", 0, 0)]
+    out = rules.classify_lines(lines(spark, cases), cfg).orderBy(F.col("sales_line_id").cast("int")).collect()
+    assert [r.line_type for r in out] == ["consignment_transfer", "stock_transfer", "other_zero_dollar"]
+    df = spark.createDataFrame([("Gutschrift", "OUT", 5), ("REBATE", "OUT", 5)], "customer_po string, sales_source string, header_item_total int")
+    assert [r[0] for r in df.select(rules.header_line_type(cfg)).collect()] == ["rebate_loyalty", "other_adjustment"]
+    marks = spark.createDataFrame([("*",), (" ",), (None,)], "m string")
+    assert [tuple(r) for r in marks.select(is_present("m"), is_present("m", True)).collect()] == [(True, True), (True, False), (False, False)]
