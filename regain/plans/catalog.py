@@ -198,7 +198,7 @@ def table_versions(spark: SparkSession, path: str) -> DataFrame:
     scratch = Scratch(tune(spark))
     table = f"{scratch.root}/orders"
     orders = SampleTables(spark, path, CFG).stg_orders.select("invoice_no", "ship_date", "item_total")
-    early = F.col("ship_date") < F.lit("1995-01-01")
+    early = F.col("ship_date") < F.lit("1998-01-01")
 
     def refuse(_: DataFrame) -> None:
         raise ValueError("not accepted")
@@ -215,8 +215,8 @@ def table_versions(spark: SparkSession, path: str) -> DataFrame:
     return portable(out)
 
 
-# the extracts that are found by one exact file name
-SINGLE_FILES = {name: pattern for name, pattern in EXTRACT_PATTERNS.items() if "*" not in pattern}
+# every extract in as many files as there are parts, those with one exact file name, too
+PART_PATTERNS = {name: p if "*" in p else p.replace(".txt", "_*.txt") for name, p in EXTRACT_PATTERNS.items()}
 
 
 def write_sample_extracts(spark: SparkSession, path: str, folder: str) -> None:
@@ -225,8 +225,8 @@ def write_sample_extracts(spark: SparkSession, path: str, folder: str) -> None:
     for name, versions in untidy.sample_extracts(sample).items():
         for i, raw in enumerate(versions):
             part = f"{folder}/parts/{name}-{i}"
-            untidy.write_extract(raw.coalesce(1) if name in SINGLE_FILES else raw, part)
-            move_files(spark, part, f"{folder}/extracts/{name}-{i}", lambda k: EXTRACT_PATTERNS[name].replace("*", f"{i}_{k}"))
+            untidy.write_extract(raw, part)
+            move_files(spark, part, f"{folder}/extracts/{name}-{i}", lambda k: PART_PATTERNS[name].replace("*", f"{i}_{k}"))
     for name in SEEDS:
         rows = getattr(sample, name)
         rows.coalesce(1).write.csv(f"{folder}/parts/{name}", header=True)
@@ -237,7 +237,7 @@ def load_files(spark: SparkSession, path: str) -> DataFrame:
     """The customer mart, from extract and seed files to marts in one run."""
     root = Scratch(spark).root
     write_sample_extracts(spark, path, root)
-    loaded = load(spark, f"{root}/extracts", f"{root}/seeds", f"{root}/tables", LOADED_AT, CFG)
+    loaded = load(spark, f"{root}/extracts", f"{root}/seeds", f"{root}/tables", LOADED_AT, CFG, patterns=PART_PATTERNS)
     return portable(loaded.pipeline.customer_mart)
 
 
