@@ -299,17 +299,16 @@ def removed_spans(texts: DataFrame, work: Workspace) -> DataFrame:
         part, hot = _settled(found, work)
         spans = part if spans is None else spans.unionByName(part)
         if width == 1 or not hot.limit(1).count():
-            work.drop(found, hot)
+            work.drop(hot)
             return spans
         width = -(-width // 2)
-        halves = work.keep(halved(hot, width))
-        work.drop(found, hot)
-        found = halves
+        found = work.keep(halved(hot, width))
+        work.drop(hot)
 
 
 def _settled(found: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     """Spans of the segments that equal an earlier one and of those settled in shards; and the segments, one of each
-    content, whose anchor has too many different ones for a shard."""
+    content, whose anchor has too many different ones for a shard. ``found`` is deleted as soon as it has been read."""
     key = ["h", "d1", "d2", "strings"]
     narrow = found.drop("bytes")
     earliest = F.min(F.struct("_ord", "start"))
@@ -318,13 +317,15 @@ def _settled(found: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
     spans = late.select("_ord", F.col("start").alias("begin"), (F.col("start") + F.col("strings") + (LENGTH - 1)).alias("end"))
     kinds = classes.groupBy("h").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     one_each = classes.join(kinds, "h").select("h", "kinds", F.col("e._ord").alias("_ord"), F.col("e.start").alias("start"))
+    spans = work.keep(spans)
     apart = work.keep(found.select("h", "_ord", "start", "strings", "place", "bytes").join(one_each, ["h", "_ord", "start"]))
+    work.drop(found, classes)
     cold = apart.filter(F.col("kinds") <= HOT_SEGMENTS)
     total = cold.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     shards = cold.repartition(max(8, 2 * total // SHARD_BYTES), "h")
-    spans = work.keep(spans.unionByName(shard_spans(shards)))
+    spans = spans.unionByName(work.keep(shard_spans(shards)))
     hot = work.keep(apart.filter(F.col("kinds") > HOT_SEGMENTS).drop("h", "kinds"))
-    work.drop(apart, classes)
+    work.drop(apart)
     return spans, hot
 
 
