@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regain import config as c
 from regain.config import Settings
 from regain.functions.numbers import or_zero, round_half_away, safe_div
-from regain.operators.ranking import row_numbers
 from regain.operators.windows import ReportingDates
 
 
@@ -33,12 +30,12 @@ def product_stock(inventory: DataFrame) -> DataFrame:
 
 
 def call_sheet(
-    changes: DataFrame, homes: DataFrame, catalogue: DataFrame, inventory: DataFrame,
-    keep: Callable[[DataFrame], DataFrame], cfg: Settings = Settings(),
+    changes: DataFrame, homes: DataFrame, catalogue: DataFrame, inventory: DataFrame, cfg: Settings = Settings()
 ) -> DataFrame:
     """Customer x product mostly stopped: status, rank, past buying, last price, price and stock now.
 
-    ``homes`` gives each customer's home branch, ``catalogue`` each product's names and current price.
+    ``homes`` gives each customer's home branch, ``catalogue`` each product's names and current price. Ranks are a window
+    per customer: it holds a product once, so a customer is bounded by the catalogue, not by its lines.
     """
     stopped = changes.filter("is_mostly_stopped")
     stock = product_stock(inventory)
@@ -70,5 +67,5 @@ def call_sheet(
             or_zero(F.col("best_branch_available")).alias("best_branch_available"),
         )
     )
-    sheet_order = [F.col("_order"), F.col("gp_prior_12m").desc(), F.col("product_id")]
-    return row_numbers(rows, ["customer_id"], sheet_order, "product_rank", keep).drop("_order")
+    best_first = Window.partitionBy("customer_id").orderBy("_order", F.col("gp_prior_12m").desc(), "product_id")
+    return rows.withColumn("product_rank", F.row_number().over(best_first).cast("bigint")).drop("_order")

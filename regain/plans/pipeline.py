@@ -52,10 +52,9 @@ MONEY_COLUMNS = (
 # None of them has a row per line.
 INVOICES = frozenset({"int_invoices"})
 LINES = INVOICES | {"invoice_exceptions"}
-CUSTOMERS = LINES | {
-    "customer_days", "purchase_invoices", "scores", "int_salespeople", "int_products", "int_customer_product_changes",
-    "mart_customer_years", "buyers", "account_remap",
-}
+CUSTOMERS = frozenset({
+    "invoice_exceptions", "customer_days", "purchase_invoices", "int_customer_product_changes", "buyers", "scores",
+})
 
 
 class Pipeline:
@@ -259,7 +258,7 @@ class Pipeline:
         homes = everyone.join(homes, "customer_id", "left")
         names = self.products.select("product_id", "product_desc", F.col("gl_type_desc").alias("product_type_desc"))
         catalogue = names.join(callsheet.product_prices(self.money_lines, self.dates), "product_id", "left")
-        frame = callsheet.call_sheet(self.product_changes, homes, catalogue, self.inventory_mart, self.keep, self.cfg)
+        frame = callsheet.call_sheet(self.product_changes, homes, catalogue, self.inventory_mart, self.cfg)
         return self._table("mart_call_sheet", frame)
 
 
