@@ -33,7 +33,7 @@ WINDOW = LENGTH - GRAM + 1  # anchors a string can choose from
 BLOCK_BYTES = 1 << 18
 # segments of an anchor that has more different ones than this are halved, and each half gets an anchor of its own
 HOT_SEGMENTS = 512
-SHARD_BYTES = 1 << 21
+SHARD_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 

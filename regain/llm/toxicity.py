@@ -34,15 +34,18 @@ CATEGORIES = ("insult", "contempt", "toxic")
 _WORD = re.compile(r"[^\W_]+")
 
 
+REMEMBERED = 1 << 17  # strings of a task whose feature is remembered, some 20 MB
+
+
 class FeatureIds(dict):
-    """Hashed feature of a string, remembered within a task."""
+    """Hashed feature of a string, remembered within a task; the memory is emptied when it grows large."""
 
     def __init__(self, kind: bytes):
         super().__init__()
         self.kind = kind
 
     def __missing__(self, text: str) -> int:
-        if len(self) >= 2_000_000:
+        if len(self) >= REMEMBERED:
             self.clear()
         value = self[text] = zlib.crc32(self.kind + text.encode("utf-8", "replace")) % HASH_SIZE
         return value
