@@ -90,3 +90,23 @@ def test_every_query_has_sql():
     from oracle.queries import ORACLE
 
     assert set(catalog.QUERIES) == set(ORACLE)
+
+
+def test_whole_lines_are_exchanged_twice_for_sales_detail(spark, keep):
+    """Once for each lookup before: products, invoices, bill-to and ship-to accounts."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    kept = []
+    try:
+        p = Pipeline.for_query(spark, SampleTables(spark, SMALL))
+        p.lines = keep(p.lines)
+        p._keep = lambda df: kept.append(plan_of(df)) or keep(df)
+        last = plan_of(p.sales_detail.select("sales_line_id", "_source_file", "customer_name", "bill_to_customer_name", "ship_to_customer_name"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    (first,) = kept
+    assert first.count("hashpartitioning(product_id") == 3  # the lines, and the products twice: first branch, lookup
+    assert "hashpartitioning(invoice_no" not in first and "hashpartitioning(bill_to" not in first
+    assert last.count("hashpartitioning(bill_to_customer_id") <= 3 and "hashpartitioning(ship_to_customer_id" in last
+    wide = [line for line in last.splitlines() if "Exchange hashpartitioning(coalesce(invoice_no" in line]
+    assert len(wide) == 1

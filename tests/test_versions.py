@@ -1,4 +1,5 @@
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -188,3 +189,37 @@ def test_keys_are_settled_in_one_pass(spark, tmp_path):
     plan = plan_of(census)
     # one scan of the table for all its keys, one more where it is its own parent, one of the other parent
     assert plan.count("FileScan parquet") == 3 and plan.count("Exchange hashpartitioning(line") <= 3
+
+
+def test_partitions_are_put_in_ranges_one_at_a_time(spark, tmp_path):
+    """One exchange held the rows of all partitions before."""
+    path = f"file://{tmp_path}/t"
+    layout = versions.Layout(derive={"part": "id % 3"}, partition_by=("part",), range_by=("part", "id"))
+    rows = spark.range(90).withColumn("id", F.when(F.col("id") != 7, F.col("id")))  # NULL has a partition of its own
+    assert versions.put(rows, path, layout).count() == 90
+    (data,) = [n for n in os.listdir(tmp_path / "t") if n.startswith("v-")]
+    assert len(os.listdir(tmp_path / "t" / data)) >= 4
+    writes = {f.split("-", 2)[2].split(".")[0] for f in _part_files(tmp_path / "t" / data)}
+    assert len(writes) == 4  # one for each partition
+    assert versions.put(rows.limit(0), path, layout).count() == 0
+
+
+def _part_files(folder):
+    return [f for _, _, files in os.walk(folder) for f in files if f.startswith("part-")]
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    """They stayed until the driver collected garbage before: a build held those of all its tables."""
+    from regain.plans.session import tune
+
+    def shuffle_files():
+        files = tune(spark)._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    before = shuffle_files()
+    versions.put(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), f"file://{tmp_path}/t")
+    for _ in range(50):
+        if not shuffle_files() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files() - before
