@@ -110,3 +110,12 @@ def test_whole_lines_are_exchanged_twice_for_sales_detail(spark, keep):
     assert last.count("hashpartitioning(bill_to_customer_id") <= 3 and "hashpartitioning(ship_to_customer_id" in last
     wide = [line for line in last.splitlines() if "Exchange hashpartitioning(coalesce(invoice_no" in line]
     assert len(wide) == 1
+
+
+def test_products_are_exchanged_before_they_are_sorted(spark):
+    """Each task sorted all the rows of its split before."""
+    t = SampleTables(spark, SMALL)
+    for df in (Pipeline.for_query(spark, t).products, quality.same_across_branches(t.stg_products)):
+        plan = plan_of(df)
+        below = plan[plan.index("Exchange hashpartitioning(product_id"):].split("BroadcastExchange IdentityBroadcastMode")[0]
+        assert "Sort" not in below and "Aggregate" not in below and "WindowGroupLimit" not in below
