@@ -119,3 +119,15 @@ def test_products_are_exchanged_before_they_are_sorted(spark):
         plan = plan_of(df)
         below = plan[plan.index("Exchange hashpartitioning(product_id"):].split("BroadcastExchange IdentityBroadcastMode")[0]
         assert "Sort" not in below and "Aggregate" not in below and "WindowGroupLimit" not in below
+
+
+def test_lines_are_joined_to_their_orders_once(spark, keep):
+    """A query that reads the lines for themselves and for their invoices joined them again each time."""
+    written = []
+    plain, kept = SampleTables(spark, SMALL), SampleTables(spark, SMALL, keep=lambda df: written.append(1) or keep(df))
+    for name in ("stg_sales_core", "stg_orders", "stg_sales"):
+        a, b = getattr(plain, name), getattr(kept, name)
+        assert a.schema.simpleString() == b.schema.simpleString()
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert len(written) == 1
+    assert "Join" not in plan_of(kept.stg_sales_core)
