@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from regain.operators import explore
 from regain.plans import gate, versions
-from regain.plans.pipeline import DETAIL_LAYOUT, build
+from regain.plans.pipeline import DETAIL_LAYOUT, Pipeline, build
 from regain.plans.store import Layers
 from regain.sources.sample import SampleTables
 
@@ -204,6 +204,53 @@ def test_partitions_are_put_in_ranges_one_at_a_time(spark, tmp_path):
     assert versions.put(rows.limit(0), path, layout).count() == 0
 
 
+def test_a_partition_is_made_of_its_own_rows(spark, tmp_path):
+    """The joins of a table held the rows of all partitions before, and all were written twice."""
+    layout = versions.Layout(derive={"part": "id % 3"}, partition_by=("part",), range_by=("part", "id"))
+    rows, asked = spark.range(90), []
+
+    def part(same):
+        asked.append(rows.filter(same).count())
+        return rows.filter(same).withColumn("w", F.col("id") + 1)
+
+    table = versions.put(rows.withColumn("w", F.col("id") + 1), f"file://{tmp_path}/t", layout, part=part)
+    assert asked == [30, 30, 30]
+    assert sorted((r["id"], r["w"], r["part"]) for r in table.collect()) == [(i, i + 1, i % 3) for i in range(90)]
+
+
+def test_buckets_are_written_in_turns(spark, tmp_path):
+    """One exchange held all rows before."""
+    lines = spark.range(4000).select((F.col("id") % 500).cast("string").alias("k"), F.col("id").alias("v"))
+    seen = []
+    a = versions.put(
+        lines, f"file://{tmp_path}/a", versions.Layout(bucket_by="k", buckets=8, turns=2), watch=lambda df: seen.append(df.count()) or df
+    )
+    b = versions.put(lines.select("k").distinct(), f"file://{tmp_path}/b", versions.Layout(bucket_by="k", buckets=8))
+    assert len(seen) == 2 and sum(seen) == 4000 and max(seen) < 3000
+    (data,) = [n for n in os.listdir(tmp_path / "a") if n.startswith("v-")]
+    assert len(_part_files(tmp_path / "a" / data)) == 8  # a file for each bucket still
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        joined = a.join(b, "k")
+        assert "Exchange" not in plan_of(joined) and joined.count() == 4000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert a.exceptAll(lines).isEmpty() and lines.exceptAll(a).isEmpty()
+
+
+def test_detail_of_a_build_is_that_of_a_query(spark, small_build):
+    _, p, _ = small_build
+    whole = Pipeline.for_query(spark, SampleTables(spark, SMALL)).sales_detail
+    years = p.sales_detail.select(*whole.columns)
+    assert years.exceptAll(whole).isEmpty() and whole.exceptAll(years).isEmpty()
+
+
+def test_counts_of_several_writes_add_up():
+    both = gate.all_writes([{"n0": 2, "a1": 0, "s1": None}, {"n0": 1, "a1": 3, "s1": "z"}, {"n0": 0, "a1": 1, "s1": "y"}])
+    assert both == {"n0": 3, "a1": 4, "s1": "y"}
+
+
 def _part_files(folder):
     return [f for _, _, files in os.walk(folder) for f in files if f.startswith("part-")]
 
