@@ -112,6 +112,15 @@ def test_whole_lines_are_exchanged_twice_for_sales_detail(spark, keep):
     assert len(wide) == 1
 
 
+def test_detail_query_holds_no_exchange_of_all_lines(spark, con):
+    """The plan of the whole table held every exchange of its lines until it ended."""
+    from oracle.queries import ORACLE
+
+    detail = catalog.QUERIES["sales_detail"](spark, SMALL)
+    assert "Exchange" not in plan_of(detail) and "Join" not in plan_of(detail)
+    assert compare.compare(detail, con, ORACLE["sales_detail"]) == "ok"
+
+
 def test_products_are_exchanged_before_they_are_sorted(spark):
     """Each task sorted all the rows of its split before."""
     t = SampleTables(spark, SMALL)
