@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regain.operators.ranking import row_numbers
 
+BITS = 64  # of a bucket
+
 
 def dense_numbers(rows: DataFrame, member: str, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """``member, member_no``: every member once, numbered from 1 in order, without a sort in one task."""
@@ -22,32 +24,50 @@ def dense_numbers(rows: DataFrame, member: str, keep: Callable[[DataFrame], Data
 
 
 def monthly_bitmaps(rows: DataFrame, owner: str, member: str, numbers: DataFrame, date: str = "ship_date") -> DataFrame:
-    """``owner, month, bucket, members``: which members each owner met in each month, 32,768 to a bucket.
+    """``owner, month, bucket, members``: which members each owner met in each month, 64 to a bucket, in eight bytes.
 
-    Pairs are made distinct before they meet the numbers, so the lines are read once and combined before the shuffle.
+    Members of an owner are few among all, so a bucket mostly has one: a wide one would be empty but for that. Pairs are
+    made distinct before they meet the numbers, so the lines are read once and combined before the shuffle.
     """
     month = F.trunc(date, "month").alias("month")
     met = rows.filter(F.col(owner).isNotNull() & F.col(member).isNotNull() & F.col(date).isNotNull())
     numbered = met.select(owner, month, member).distinct().join(numbers, member)
-    return numbered.groupBy(owner, "month", F.bitmap_bucket_number("member_no").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("member_no")).alias("members")
-    )
+    bit = F.expr(f"shiftleft(1L, cast((member_no - 1) % {BITS} as int))")
+    words = numbered.groupBy(owner, "month", F.expr(f"(member_no - 1) div {BITS}").alias("bucket")).agg(F.bit_or(bit).alias("word"))
+    return words.select(owner, "month", "bucket", _bytes("word").alias("members"))
+
+
+def _bytes(word: str) -> Column:
+    return F.unhex(F.lpad(F.hex(word), BITS // 4, "0"))
+
+
+def _word(members: str) -> Column:
+    return F.conv(F.hex(members), 16, -10).cast("bigint")
 
 
 def merged(parts: Sequence[DataFrame], owner: str) -> DataFrame:
     """Bitmaps of several loads as one table, whatever they share."""
     every = reduce(DataFrame.unionByName, parts)
-    return every.groupBy(owner, "month", "bucket").agg(F.bitmap_or_agg("members").alias("members"))
+    words = every.groupBy(owner, "month", "bucket").agg(F.bit_or(_word("members")).alias("word"))
+    return words.select(owner, "month", "bucket", _bytes("word").alias("members"))
 
 
 def rolling_distinct(monthly: DataFrame, owner: str, out: str, months: int = 12) -> DataFrame:
     """``owner, month, out``: distinct members over the months up to and with each month the owner has any.
 
-    A bucket takes part in every month of its owner, also in those it has nothing new in.
+    A bucket's count changes only in a month it has members in, and ``months`` later, when they leave. These changes add up
+    to the owner's count, so a bucket is not spread over the months it has nothing new in.
     """
-    keys = [owner, "bucket"]
-    grid = monthly.select(owner, "month").distinct().join(monthly.select(*keys).distinct(), owner)
-    every = grid.join(monthly, [owner, "bucket", "month"], "left").withColumn("at", F.year("month") * 12 + F.month("month"))
-    window = Window.partitionBy(*keys).orderBy("at").rangeBetween(1 - months, 0)
-    counted = every.withColumn("n", F.bitmap_count(F.bitmap_or_agg(F.coalesce("members", F.lit(b""))).over(window)))
-    return counted.groupBy(owner, "month").agg(F.sum("n").alias(out))
+    at = F.year("month") * 12 + F.month("month")
+    chains = monthly.select(owner, "bucket", "month", at.alias("at"), _word("members").alias("word")).repartition(owner, "bucket")
+    changes = F.explode(F.array(
+        F.struct("at", "month", "word"),
+        F.struct((F.col("at") + months).alias("at"), F.lit(None).cast("date").alias("month"), F.lit(0).cast("bigint").alias("word")),
+    ))
+    each = chains.select(owner, "bucket", changes.alias("c")).select(owner, "bucket", "c.*")
+    chain = Window.partitionBy(owner, "bucket").orderBy("at")
+    counted = each.withColumn("n", F.bit_count(F.bit_or("word").over(chain.rangeBetween(1 - months, 0))))
+    steps = counted.withColumn("step", F.col("n") - F.lag("n", 1, 0).over(chain)).filter("step <> 0 or month is not null")
+    by_month = steps.groupBy(owner, "at").agg(F.max("month").alias("month"), F.sum("step").alias("step"))
+    upto = Window.partitionBy(owner).orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    return by_month.withColumn(out, F.sum("step").over(upto)).filter("month is not null").select(owner, "month", out)

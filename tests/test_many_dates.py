@@ -102,6 +102,30 @@ def test_bitmaps_equal_distinct_counts_and_merge(spark, p, keep):
     assert "money_lines" not in months._jdf.queryExecution().executedPlan().toString()
 
 
+def test_bitmaps_grow_with_what_they_hold(spark, keep):
+    """4 KB for each owner, month and bucket before, and a row for each bucket in each month of its owner."""
+    rows = spark.range(6000).select(
+        F.lit("a").alias("owner"), F.concat(F.lit("m"), F.col("id") * 7 % 1501).alias("member"),
+        F.expr("date_add(date'2020-01-15', cast(id % 1200 as int))").alias("ship_date"),
+    )
+    numbers = keep(distinct.dense_numbers(rows, "member", keep))
+    state = keep(distinct.monthly_bitmaps(rows, "owner", "member", numbers))
+    assert state.agg(F.max(F.length("members")), F.sum(F.bitmap_count("members"))).first() == (
+        8, rows.select("member", F.trunc("ship_date", "month")).distinct().count()
+    )
+    met = {}
+    for r in rows.collect():
+        met.setdefault(r["ship_date"].year * 12 + r["ship_date"].month, set()).add(r["member"])
+    want = {m: len(set().union(*[met.get(k, set()) for k in range(m - 11, m + 1)])) for m in met}
+    got = distinct.rolling_distinct(state, "owner", "n")
+    assert {r["month"].year * 12 + r["month"].month: r["n"] for r in got.collect()} == want and len(want) == 40
+    # months without any: what left the window in them is gone
+    far = state.filter("month in (date'2020-02-01', date'2020-03-01', date'2021-03-01')")
+    assert [r["n"] for r in distinct.rolling_distinct(far, "owner", "n").orderBy("month").collect()] == [
+        len(met[24242]), len(met[24242] | met[24243]), len(met[24255])
+    ]
+
+
 def test_rhythm_states_merge_in_any_order(spark, p, keep):
     whole = history.rhythm_of_states(history.rhythm_states(p.days))
     want = sorted(map(tuple, whole.collect()))
