@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 import compare
 from regain.operators import quality, windows
 from regain.plans import catalog, checks
-from regain.plans.pipeline import Pipeline
+from regain.plans.pipeline import DAYS, LINES, SCORES, Pipeline
 from regain.plans.store import write_table
 from regain.sources.sample import SampleTables
 
@@ -112,6 +112,23 @@ def test_whole_lines_are_exchanged_twice_for_sales_detail(spark, keep):
     assert len(wide) == 1
 
 
+def test_lines_meet_the_few_remapped_accounts_without_an_exchange(spark):
+    """The size of an aggregated list is not known beforehand: the lines were exchanged to join it."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2k")
+    try:
+        for shared in (LINES, SCORES, DAYS):
+            p = Pipeline.for_query(spark, SampleTables(spark, SMALL), shared=shared)
+            assert "Exchange hashpartitioning(bill_to_customer_id" not in plan_of(p.line_transactions)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_days_are_aggregated_once_for_many_dates(spark):
+    """The lines were read and exchanged again for each part of the plan that reads the days."""
+    assert "hashpartitioning(l_orderkey" not in plan_of(catalog.QUERIES["early_drop_by_month"](spark, SMALL))
+
+
 def test_detail_query_holds_no_exchange_of_all_lines(spark, con):
     """The plan of the whole table held every exchange of its lines until it ended."""
     from oracle.queries import ORACLE
