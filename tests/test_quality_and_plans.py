@@ -124,6 +124,15 @@ def test_lines_meet_the_few_remapped_accounts_without_an_exchange(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_a_customers_days_lie_in_one_file(spark):
+    """They lay in all files, so aggregates per customer exchanged about as many rows as there are days."""
+    days = Pipeline.for_query(spark, SampleTables(spark, SMALL), shared=SCORES).days
+    files = days.select("customer_id", F.input_file_name().alias("file")).distinct()
+    assert files.groupBy("customer_id").count().filter("count > 1").isEmpty()
+    plain = Pipeline.for_query(spark, SampleTables(spark, SMALL), shared=DAYS).days
+    assert days.exceptAll(plain).isEmpty() and plain.exceptAll(days).isEmpty()
+
+
 def test_days_are_aggregated_once_for_many_dates(spark):
     """The lines were read and exchanged again for each part of the plan that reads the days."""
     assert "hashpartitioning(l_orderkey" not in plan_of(catalog.QUERIES["early_drop_by_month"](spark, SMALL))
