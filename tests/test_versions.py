@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from regain.operators import explore
 from regain.plans import gate, versions
-from regain.plans.pipeline import DETAIL_LAYOUT, Pipeline, build
+from regain.plans.pipeline import BUILD_ORDER, DETAIL_LAYOUT, STAGING, Pipeline, build
 from regain.plans.store import Layers
 from regain.sources.sample import SampleTables
 
@@ -246,6 +246,26 @@ def test_detail_of_a_build_is_that_of_a_query(spark, small_build):
     assert years.exceptAll(whole).isEmpty() and whole.exceptAll(years).isEmpty()
 
 
+def test_sorted_keys_take_less_without_a_dictionary(spark, tmp_path):
+    rows = spark.range(60000).select(F.concat(F.lit("invoice "), F.lpad(F.col("id").cast("string"), 9, "0")).alias("k"), "id").repartition(2)
+    layout = versions.Layout(sort_by=("k",), no_dictionary=("k", "not_there"))
+    table = versions.put(rows, f"file://{tmp_path}/t", layout)
+    rows.write.parquet(f"file://{tmp_path}/plain", compression=versions.COMPRESSION)
+
+    def size(folder):
+        return sum(os.path.getsize(os.path.join(at, f)) for at, _, files in os.walk(folder) for f in files if f.startswith("part-"))
+
+    assert size(tmp_path / "t") * 2 < size(tmp_path / "plain")
+    assert table.exceptAll(rows).isEmpty() and table.count() == 60000
+
+
+def test_little_stands_beside_the_steps_that_exchange_the_lines(small_build):
+    """The detail was written when all but a few tables stood already."""
+    _, p, _ = small_build
+    assert BUILD_ORDER.index("sales_detail") < min(BUILD_ORDER.index(n) for n in ("transactions", "days", "product_changes"))
+    assert {n for n in STAGING if hasattr(p.staged, n)} == set(STAGING)
+
+
 def test_counts_of_several_writes_add_up():
     both = gate.all_writes([{"n0": 2, "a1": 0, "s1": None}, {"n0": 1, "a1": 3, "s1": "z"}, {"n0": 0, "a1": 1, "s1": "y"}])
     assert both == {"n0": 3, "a1": 4, "s1": "y"}
