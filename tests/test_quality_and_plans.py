@@ -15,6 +15,20 @@ def plan_of(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_checks_of_keys_are_made_one_at_a_time(spark):
+    """One plan of all checks held the keys of all tables before."""
+    t = {"a": spark.createDataFrame([("1",), ("1",)], "k string"), "b": spark.createDataFrame([("2",)], "k string")}
+    kept = []
+
+    def keep(df):
+        kept.append(df.collect())
+        return df
+
+    assert quality.unique(t, [("a", "k"), ("b", "k")], keep).count() == 2
+    assert quality.relationships(t, [("a", "k", "b", "k", "warn")], keep).count() == 1
+    assert [[r.failing_rows for r in rows] for rows in kept] == [[1], [0], [2]]
+
+
 def test_checks_report_failures(spark):
     t = {
         "child": spark.createDataFrame([("1", "a"), ("1", "b"), (None, "z")], "k string, v string"),
