@@ -28,6 +28,7 @@ from regain.llm.common import Workspace, table
 
 RECORDS_PER_FILE = 1024
 BATCH_BYTES = 8 << 20
+GZIP_LEVEL = "THREE"  # as Hadoop names levels: about half the time of the default, files a few percent larger
 MIN_REVISIT_BYTES = 0
 KEY_FIELD = "X-Record-Key"
 FIRST_KEY_FIELD = "X-First-Record-Key"
@@ -109,7 +110,7 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
 def _write(records: DataFrame, path: str, end: str) -> None:
     """Records as text files of whole records; the bytes go out as they are."""
     writer = records.select(F.col("value").cast("string")).write.option("lineSep", end).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    writer.option("zlib.compress.level", GZIP_LEVEL).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def archive_files(spark: SparkSession, path: str) -> DataFrame:
