@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from regain import config as c
 from regain.functions.numbers import round_half_away, safe_div
-from regain.functions.text import clean_text, fmt_money, matches, to_amount, to_date_strict, to_int
+from regain.functions.text import SPACES, blank_to_null, clean_text, fmt_money, matches, to_amount, to_date_strict, to_int
 
 
 def one(spark, value, column, kind="string"):
@@ -53,3 +53,14 @@ def test_consignment_abbreviation(spark, po, hit):
 def test_numbers(spark):
     assert one(spark, -1.25, round_half_away(F.col("x"), 1), "double") == -1.3
     assert one(spark, 3.0, safe_div(F.col("x"), F.lit(0)), "double") is None
+
+
+def test_trimming_by_the_set_is_for_text_beyond_ascii_only(spark):
+    """Every text was trimmed character by character before; both ways give the same."""
+    spaces = ["", " ", "  ", " ", " 　 ", " "]
+    inner = [None, "", "a", "a b", "é", "x y", "\t", "\u0000", "€ 5"]
+    rows = [(None if t is None else a + t + b,) for a in spaces for t in inner for b in spaces]
+    df = spark.createDataFrame(rows, "t string")
+    whole = F.nullif(F.trim("t", F.lit(SPACES)), F.lit(""))
+    assert df.select(blank_to_null(F.col("t")).alias("a"), whole.alias("b")).filter("NOT (a <=> b)").isEmpty()
+    assert "CASE WHEN" in df.select(blank_to_null(F.col("t")))._jdf.queryExecution().analyzed().toString()
