@@ -1,9 +1,12 @@
+from decimal import Decimal as D
+
 import pytest
 from pyspark.sql import functions as F
 
 import compare
-from regain.operators import quality, windows
-from regain.plans import catalog, checks
+from regain.config import Settings
+from regain.operators import opportunity, quality, windows
+from regain.plans import catalog, checks, pipeline
 from regain.plans.pipeline import DAYS, LINES, SCORES, Pipeline
 from regain.plans.store import write_table
 from regain.sources.sample import SampleTables
@@ -147,6 +150,50 @@ def test_a_customers_days_lie_in_one_file(spark):
     assert days.exceptAll(plain).isEmpty() and plain.exceptAll(days).isEmpty()
 
 
+def test_scoring_aggregates_per_customer_without_an_exchange(spark):
+    """The lines were exchanged for the days, again to lay those together, for the invoices and for the products."""
+    p = Pipeline.for_query(spark, SampleTables(spark, SMALL), shared=SCORES)
+    changes = plan_of(p.product_changes)
+    assert "Exchange" not in plan_of(windows.customer_days(p.transactions)) + plan_of(p.purchase_invoices)
+    assert "Exchange hashpartitioning(customer_id" not in changes and "Exchange hashpartitioning(_groupingexpression" not in changes
+
+
+def test_a_customer_with_most_rows_is_not_put_in_a_bucket(spark, monkeypatch):
+    even = Pipeline.for_query(spark, SampleTables(spark, SMALL), shared=SCORES)
+    a, bucketed = even.scores, plan_of(even.purchase_invoices)
+    monkeypatch.setattr(pipeline, "MOST_UNEVEN", 0.0)
+    uneven = Pipeline.for_query(spark, SampleTables(spark, SMALL), shared=SCORES)
+    b = uneven.scores
+    assert "Bucketed: true" in bucketed and "Exchange" in plan_of(windows.customer_days(uneven.transactions))
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty() and a.count() > 50
+
+
+def test_invoice_sums_are_exchanged_once_for_headers_and_lines(spark, keep):
+    """Orders joined to the sums of their lines were exchanged again, to meet the same sums by the number as text."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = Pipeline.for_query(spark, SampleTables(spark, SMALL, keep=keep))
+        frame = p.invoices.select("invoice_no", "reconciliation_status", "line_price_total", "line_cogs_total", "header_cogs_total")
+        frame.collect()
+        plan = plan_of(frame).split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "l_orderkey" not in "".join(line for line in plan.splitlines() if " Exchange" in line)
+    assert len([line for line in plan.splitlines() if " Exchange" in line]) <= 3
+
+
+def test_brands_are_read_once_for_those_that_stopped(spark):
+    """Names and totals each summed up the products by brand."""
+    rows = [("a", f"B{i}", f"Line {i}" if i != 4 else None, D(100 * (i % 5) + 300), i != 2) for i in range(7)] + [("b", "B1", "Line 1", D(300), True)]
+    brands = spark.createDataFrame(rows, "customer_id string, brand string, brand_desc string, gp_prior_12m decimal(28,4), is_mostly_stopped boolean")
+    got = opportunity.stopped_brands(brands, Settings(top_brands_in_reason=3))
+    assert plan_of(got).count("Scan ExistingRDD") == 1
+    assert {r.customer_id: (r.stopped_brand_count, r.stopped_brands_gp_prior_12m, r.stopped_brands) for r in got.collect()} == {
+        "a": (6, D(2700), "B4, Line 3, Line 1"), "b": (1, D(300), "Line 1")
+    }
+
+
 def test_days_are_aggregated_once_for_many_dates(spark):
     """The lines were read and exchanged again for each part of the plan that reads the days."""
     assert "hashpartitioning(l_orderkey" not in plan_of(catalog.QUERIES["early_drop_by_month"](spark, SMALL))
