@@ -15,10 +15,10 @@ def ascending(s: np.ndarray) -> np.ndarray:
     is_s[-1] = True
     if n > 1:
         rises = s[:-1] < s[1:]
-        differs = np.flatnonzero(s[:-1] != s[1:])
+        unlike = s[:-1] != s[1:]
+        differs = np.flatnonzero(unlike)
         # an equal run has the type of the place where it ends
-        end = differs[np.searchsorted(differs, np.arange(n - 1))]
-        is_s[:-1] = rises[end]
+        is_s[:-1] = rises[differs][np.cumsum(unlike) - unlike]
     return is_s
 
 
@@ -133,11 +133,34 @@ def _names(s: np.ndarray, is_s: np.ndarray, ordered: np.ndarray, lms: np.ndarray
     return name[lms], int(rank[-1]) + 1
 
 
-def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
+def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
+    """Order of the suffixes of ``names``, whose last name occurs only there, by ``depth`` names at least: what is equal in
+    some names is told apart by the ranks of what follows, twice as many names each round."""
+    m = len(names)
+    order = np.argsort(names, kind="stable")
+    places, keys = np.arange(m), names[order]
+    rank, step = np.empty(m, dtype=np.int64), 0
+    while True:
+        fresh = np.ones(len(places), dtype=bool)
+        fresh[1:] = keys[1:] != keys[:-1]
+        heads = np.flatnonzero(fresh)
+        sizes = np.diff(np.append(heads, len(places)))
+        rank[order[places]] = np.repeat(places[heads], sizes)
+        places = places[np.repeat(sizes > 1, sizes)]
+        step = 2 * step or 1
+        if not len(places) or step >= depth:
+            return order
+        open_ = order[places]
+        keys = rank[open_] * m + rank[open_ + step]
+        by = np.argsort(keys)
+        order[places], keys = open_[by], keys[by]
+
+
+def suffix_array(s: np.ndarray, size: int, depth: int | None = None) -> np.ndarray:
     """Suffix array of ``s``, whose symbols are below ``size`` and whose last symbol, 0, occurs only there.
 
-    Suffixes are classified, the leftmost-smaller substrings sorted (recursively where names repeat), and the
-    whole array induced from their order. Linear in the length of ``s``.
+    Suffixes are classified, the leftmost-smaller substrings sorted (by doubling where names repeat), and the whole array
+    induced from their order. With a ``depth``, suffixes equal in that many symbols may come in any order.
     """
     induce = _induce_buckets if size <= SMALL_ALPHABET else _induce_one_by_one
     if len(s) == 1:
@@ -154,7 +177,8 @@ def suffix_array(s: np.ndarray, size: int) -> np.ndarray:
     ordered = first[is_lms[first]]
     names, distinct = _names(s, is_s, ordered, lms)
     if distinct < len(lms):
-        ordered = lms[suffix_array(names, distinct)]
+        # from one such suffix to the next are two symbols at least
+        ordered = lms[_doubled(names, len(names) if depth is None else depth // 2 + 1)]
     return induce(s, is_s, ordered, size)
 
 

@@ -30,43 +30,43 @@ from regain.operators.ranking import row_numbers
 LENGTH = 100
 GRAM = 48  # bytes of an anchor: long enough that few repeat by chance
 WINDOW = LENGTH - GRAM + 1  # anchors a string can choose from
-BLOCK_BYTES = 1 << 18
+BLOCK_BYTES = 1 << 17
 # segments of an anchor that has more different ones than this are halved, and each half gets an anchor of its own
 HOT_SEGMENTS = 512
 SHARD_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
+_VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))  # of the bytes
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out)
+
+
+_UP, _DOWN = _powers(_BASE, BLOCK_BYTES + 1), _powers(pow(_BASE, -1, 1 << 64), BLOCK_BYTES + 1)
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the ``GRAM`` bytes at every place, by doubling and joining pieces."""
-    pieces = {1: raw.astype(np.uint64) + np.uint64(1)}
-    size, power = 1, _BASE
-    powers = {1: np.uint64(power)}
-    while size * 2 <= GRAM:
-        h = pieces[size]
-        pieces[size * 2] = h[:-size] * powers[size] + h[size:]
-        power = power * power % (1 << 64)
-        size *= 2
-        powers[size] = np.uint64(power)
-    out, done = None, 0
-    for size in sorted(pieces, reverse=True):
-        if GRAM - done >= size:
-            part = pieces[size][done : done + len(raw) - GRAM + 1]
-            out = part if out is None else out * powers[size] + part
-            done += size
+    """A 64-bit hash of the ``GRAM`` bytes at every place: a polynomial, from the difference of two running sums."""
+    up, down = (_UP, _DOWN) if len(raw) < len(_UP) else (_powers(_BASE, len(raw)), _powers(pow(_BASE, -1, 1 << 64), len(raw)))
+    total = np.zeros(len(raw) + 1, dtype=np.uint64)
+    values = _VALUES[raw]
+    values *= up[: len(raw)]
+    np.cumsum(values, out=total[1:])
+    out = total[GRAM:] - total[:-GRAM]
+    out *= down[: len(out)]
     return mix64(out)
 
 
 def least_in_window(values: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every run of ``width`` values."""
-    n = len(values) - width + 1
-    padded = np.full(-(-len(values) // width) * width, np.iinfo(values.dtype).max, dtype=values.dtype)
-    padded[: len(values)] = values
-    rows = padded.reshape(-1, width)
-    forward = np.minimum.accumulate(rows, axis=1).ravel()
-    backward = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(backward[:n], forward[width - 1 : width - 1 + n])
+    n, size = len(values) - width + 1, 1
+    while size * 2 <= width:
+        values = np.minimum(values[:-size], values[size:])
+        size *= 2
+    return np.minimum(values[:n], values[width - size : width - size + n])
 
 
 def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -102,15 +102,16 @@ def _block(parts: list[tuple[int, int, bytes]]):
     anchors = (least_in_window(keyed, WINDOW) & np.uint64((1 << 20) - 1)).astype(np.int64)
     lengths = np.array([len(p) for _, _, p in parts])
     begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    part_of = np.repeat(np.arange(len(parts)), lengths)[: len(anchors)]
-    inside = np.arange(len(anchors)) + LENGTH <= (begins + lengths)[part_of]
     change = np.ones(len(anchors), dtype=bool)
-    change[1:] = (anchors[1:] != anchors[:-1]) | (part_of[1:] != part_of[:-1]) | (inside[1:] != inside[:-1])
+    change[1:] = anchors[1:] != anchors[:-1]
+    change[begins] = True
+    beyond = begins + lengths - LENGTH + 1  # behind the last string of a part
+    change[beyond[beyond < len(anchors)]] = True
     first = np.flatnonzero(change)
     count = np.diff(np.append(first, len(anchors)))
-    keep = inside[first]
-    first, count = first[keep], count[keep]
-    part = part_of[first]
+    part = np.searchsorted(begins, first, side="right") - 1
+    keep = first < beyond[part]
+    first, count, part = first[keep], count[keep], part[keep]
     owner = np.array([o for o, _, _ in parts])[part]
     start = first - begins[part] + np.array([a for _, a, _ in parts])[part]
     return block, owner, start, count, hashes[anchors[first]].view(np.int64), first, anchors[first] - first
@@ -231,7 +232,7 @@ def equal_strings(parts: list[bytes]) -> np.ndarray:
     symbols[:-1] = np.frombuffer(text, np.uint8)
     symbols[:-1] += 1
     symbols[-1] = 0
-    array = suffix_array(symbols, 257)[1:]
+    array = suffix_array(symbols, 257, LENGTH)[1:]
     is_start = np.zeros(len(text), dtype=bool)
     at = 0
     for part in parts:
@@ -341,6 +342,14 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def span_lists(column: pa.ListArray) -> Iterator[list[tuple[int, int]]]:
+    """The (begin, end) of each row, none for a NULL, without a dictionary for each."""
+    begins, ends = (column.values.field(name).to_pylist() for name in ("begin", "end"))
+    offsets = column.offsets.to_pylist()
+    for a, b, known in zip(offsets, offsets[1:], column.is_valid().to_pylist()):
+        yield list(zip(begins[a:b], ends[a:b])) if known else []
+
+
 def cut_out(text: bytes, runs: list[tuple[int, int]]) -> bytes:
     kept, at = [], 0
     for begin, end in runs:
@@ -369,8 +378,8 @@ def removals(docs: DataFrame, work: Workspace, key: str = "doc_id", text: str =
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for raw, found in zip(_texts(batch, 1), batch.column(2).to_pylist()):
-                runs = merge_spans([(s["begin"], s["end"]) for s in found or ()])
+            for raw, found in zip(_texts(batch, 1), span_lists(batch.column(2))):
+                runs = merge_spans(found)
                 kept = cut_out(raw, runs)
                 rows.append((len(raw), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*rows)) if rows else [()] * 4
@@ -402,9 +411,9 @@ def _without_repeats(docs: DataFrame, work: Workspace, key: str, text: str) -> D
 
     def cut(texts: pa.Array, found: pa.Array) -> pa.Array:
         out = []
-        for raw, some in zip(texts.cast(pa.binary()).to_pylist(), found.to_pylist()):
+        for raw, some in zip(texts.cast(pa.binary()).to_pylist(), span_lists(found)):
             runs = []
-            for begin, end in merge_spans([(s["begin"], s["end"]) for s in some or ()]):
+            for begin, end in merge_spans(some):
                 while begin < end and raw[begin] & 0xC0 == 0x80:
                     begin += 1
                 while end > begin and end < len(raw) and raw[end] & 0xC0 == 0x80:

@@ -22,6 +22,29 @@ def test_suffix_array(small, monkeypatch):
         assert array_of(text) == sorted(range(len(text) + 1), key=lambda i: text[i:])
 
 
+def test_repeats_are_not_induced_element_by_element(monkeypatch):
+    """Names that repeat made a smaller text, whose suffixes were induced one by one in Python."""
+    monkeypatch.setattr(suffix_array, "_induce_one_by_one", None)
+    rng = random.Random(5)
+    words = [bytes(rng.choices(b"abcdefgh", k=rng.randrange(3, 30))) for _ in range(12)]
+    for _ in range(20):
+        text = b" ".join(rng.choices(words, k=60))
+        every = sorted(range(len(text) + 1), key=lambda i: text[i:])
+        assert array_of(text) == every
+        symbols = np.concatenate([np.frombuffer(text, np.uint8).astype(np.int64) + 1, [0]])
+        some = suffix_array.suffix_array(symbols, 257, 20).tolist()
+        assert sorted(some) == sorted(every) and [text[i : i + 20] for i in some] == [text[i : i + 20] for i in every]
+
+
+def test_anchors_depend_on_their_bytes_only(monkeypatch):
+    rng = np.random.default_rng(7)
+    a, b = (rng.integers(0, 256, n).astype(np.uint8) for n in (700, 400))
+    whole, part = suffix_dedup.gram_hashes(np.concatenate([b, a])), suffix_dedup.gram_hashes(a)
+    assert np.array_equal(whole[400:], part) and len(np.unique(part)) == len(part) == 700 - suffix_dedup.GRAM + 1
+    monkeypatch.setattr(suffix_dedup, "_UP", suffix_dedup._UP[:100])  # a block longer than the powers at hand
+    assert np.array_equal(suffix_dedup.gram_hashes(a), part)
+
+
 def test_common_prefixes():
     text = b"banana bandana banana bandana!"
     array = np.array(array_of(text)[1:])
