@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from regain.operators import explore
+from regain.operators import explore, marts
 from regain.plans import gate, versions
 from regain.plans.pipeline import BUILD_ORDER, DETAIL_LAYOUT, STAGING, Pipeline, build
 from regain.plans.store import Layers
@@ -290,3 +290,51 @@ def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
             break
         time.sleep(0.1)
     assert not shuffle_files() - before
+
+
+def test_rows_are_not_made_to_find_the_bounds_of_ranges(spark, tmp_path, monkeypatch):
+    """An exchange by range made every row of a partition twice: once to look for the bounds."""
+    monkeypatch.setattr(versions, "ROWS_PER_RANGE", 40)
+    monkeypatch.setattr(versions, "SAMPLED_PER_RANGE", 20)
+    made = spark.sparkContext.accumulator(0)
+    rows = spark.range(3000).select((F.col("id") % 3).alias("part"), F.when(F.col("id") % 50 > 0, F.col("id") % 50).cast("string").alias("c"), "id")
+    count = F.udf(lambda v: made.add(1) or v, "long")
+    table = versions.put(
+        rows, f"file://{tmp_path}/t", versions.Layout(partition_by=("part",), range_by=("part", "c", "id")),
+        part=lambda same: rows.filter(same).withColumn("id", count.asNondeterministic()("id")),
+    )
+    assert made.value == 3000
+    assert table.select("part", "c", "id").exceptAll(rows).isEmpty() and table.count() == 3000
+    key = F.struct("c", "id")
+    files = table.groupBy("part", F.input_file_name().alias("f")).agg(F.min(key).alias("a"), F.max(key).alias("z"), F.count("*").alias("n"))
+    for part in range(3):
+        own = [r for r in files.filter(F.col("part") == part).selectExpr("f", "n", "row_number() over (order by a) as i", "a < z and a > lag(z, 1, struct(null, -1L)) over (order by a) as ok").collect()]
+        assert len(own) > 10 and all(r["ok"] for r in own) and max(r["n"] for r in own) < 150
+
+
+def test_lines_meet_their_accounts_without_an_exchange(spark, small_build):
+    """All columns of the lines were exchanged for what their invoice and accounts give."""
+    _, p, _ = small_build
+    s, old = p.staged, spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    found = p._by_invoice(marts.invoice_accounts(p.lines, p.headers, p.corrections, p.invoices, s.stg_customers, p.groups))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = plan_of(p._detail(found=found).filter("row_source = 'product_line' and invoice_no is not null"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(product_id" in line]
+    assert "ShuffledHashJoin [invoice_no" in plan and not [line for line in plan.splitlines() if "Exchange hashpartitioning(invoice_no" in line]
+    assert wide
+
+
+def test_a_line_without_an_invoice_still_has_its_accounts(spark, small_build):
+    """Buckets are met on the invoice; NULL is met apart, as by the query."""
+    _, p, _ = small_build
+    s = p.staged
+    some = F.col("sales_line_id") == F.lit(p.lines.agg(F.min("sales_line_id")).first()[0])
+    lines = p.lines.withColumn("invoice_no", F.when(~some, F.col("invoice_no")))
+    args = (lines, p.headers, p.corrections, p.invoices, s.stg_customers, p.groups)
+    given = (*args, p.people, s.stg_branches, p.products)
+    plain, met = marts.sales_detail(*given), marts.sales_detail(*given, found=marts.invoice_accounts(*args))
+    assert plain.filter("invoice_no is null and customer_name is not null").count() == 1
+    assert plain.exceptAll(met).isEmpty() and met.exceptAll(plain).isEmpty()
