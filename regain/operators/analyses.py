@@ -74,14 +74,19 @@ def early_drop_predicts(years: DataFrame, dates: ReportingDates, min_profit: int
 LINE_IDENTITY = ("sales_line_id", "_source_file", "_source_line", "_loaded_at")
 
 
-def duplicate_line_proof(lines: DataFrame, orders: DataFrame, identity: Sequence[str] = LINE_IDENTITY, tolerance: float = 0.01) -> DataFrame:
+def duplicate_line_proof(
+    lines: DataFrame, orders: DataFrame, identity: Sequence[str] = LINE_IDENTITY, tolerance: float = 0.01,
+    core: DataFrame | None = None, keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> DataFrame:
     """Invoices with equal priced lines: does the header match with the repeats, or without them?
 
     Lines are equal when every column but their identity is. Only invoices with lines that agree in a few columns are
     compared in all of them, and lines collapse to distinct content with a count, so repeats never meet in one task.
+    ``core`` gives the same lines without descriptive columns, to look for those invoices in. ``keep`` may write them, and the
+    invoices with repeats: then what was exchanged for a step goes before the next begins.
     """
-    alike = lines.filter("ext_price <> 0").groupBy("invoice_no", "product_id", "quantity", "ext_price").count()
-    invoices = alike.filter("count > 1").select("invoice_no").distinct()
+    alike = (lines if core is None else core).filter("ext_price <> 0").groupBy("invoice_no", "product_id", "quantity", "ext_price").count()
+    invoices = keep(alike.filter("count > 1").select("invoice_no").distinct())
     content = [c for c in lines.columns if c not in identity]
     per_line = lines.join(invoices, "invoice_no", "left_semi").groupBy(*content).agg(F.count("*").alias("copies"))
     per_invoice = per_line.groupBy("invoice_no").agg(
@@ -89,7 +94,8 @@ def duplicate_line_proof(lines: DataFrame, orders: DataFrame, identity: Sequence
         F.sum("ext_price").alias("without_repeats"),
         F.max(F.when(F.col("ext_price") != 0, F.col("copies"))).alias("most_copies"),
     )
-    joined = per_invoice.filter("most_copies > 1").join(orders.select("invoice_no", "item_total"), "invoice_no")
+    repeated = keep(per_invoice.filter("most_copies > 1"))
+    joined = repeated.join(orders.select("invoice_no", "item_total"), "invoice_no")
     return joined.agg(
         F.count("*").alias("invoices"),
         F.count_if(F.abs(F.col("with_repeats") - F.col("item_total")) <= tolerance).alias("match_with_repeats"),

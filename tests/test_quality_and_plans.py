@@ -227,3 +227,13 @@ def test_lines_are_joined_to_their_orders_once(spark, keep):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
     assert len(written) == 1
     assert "Join" not in plan_of(kept.stg_sales_core)
+
+
+def test_repeats_are_found_a_step_at_a_time(spark, con):
+    """One plan held the exchanges of all lines for all three steps until it ended."""
+    from oracle.queries import ORACLE
+
+    proof = catalog.QUERIES["duplicate_line_proof"](spark, SMALL)
+    plan = plan_of(proof)
+    assert "p_partkey" not in plan and "o_custkey" not in plan  # what is left: the few invoices meet their headers
+    assert compare.compare(proof, con, ORACLE["duplicate_line_proof"]) == "ok"
