@@ -237,3 +237,27 @@ def test_repeats_are_found_a_step_at_a_time(spark, con):
     plan = plan_of(proof)
     assert "p_partkey" not in plan and "o_custkey" not in plan  # what is left: the few invoices meet their headers
     assert compare.compare(proof, con, ORACLE["duplicate_line_proof"]) == "ok"
+
+
+def test_detail_lookups_are_written_once(spark, monkeypatch):
+    """Each year worked out products, salespeople and groups again, and exchanged its lines to meet the salespeople."""
+    from regain.plans import versions
+
+    made, put = [], versions.put
+
+    def watched(df, path, *args, part=None, **more):
+        if path.endswith("mart_sales_detail"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+            made.extend([plan_of(part(F.year("ship_date") == year)) for year in (1995, 1996)])
+        return put(df, path, *args, part=part, **more)
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    monkeypatch.setattr(versions, "put", watched)
+    try:
+        catalog.QUERIES["sales_detail"](spark, SMALL)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(made) == 2
+    for plan in made:
+        assert "Aggregate" not in plan and "Window" not in plan and "hashpartitioning(outside_salesperson_id" not in plan
+        assert "ShuffledHashJoin [invoice_no" in plan  # the lines lie in buckets of invoices
